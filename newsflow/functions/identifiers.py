@@ -39,7 +39,7 @@ def format_yyyymmdd(c: Column) -> Column:
 def reject_reason(doc_id: Column) -> Column:
     """Why a record must not be emitted; NULL for a well-formed id."""
     return (
-        F.when(doc_id.isNull(), F.lit("no id"))
+        F.when(doc_id.isNull() | (doc_id == ""), F.lit("no id"))
         .when(language(doc_id).isNull(), F.lit("no language"))
         .when(news_source(doc_id).isNull(), F.lit("no source"))
         .when(_first(doc_id, DATE).isNull(), F.lit("no date"))

@@ -6,9 +6,10 @@ text, and character references are decoded in one pass.
 
 from __future__ import annotations
 
+import json
 from html.entities import name2codepoint
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.functions.text import strip
@@ -21,39 +22,42 @@ REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 def _named_references() -> Column:
     # The HTML 4 names of the standard library plus the upper-case spellings
     # that newswire markup uses for the markup characters themselves.
-    names = dict(name2codepoint)
+    names = {name: chr(code) for name, code in name2codepoint.items()}
     names.update({n.upper(): names[n] for n in ("amp", "lt", "gt", "quot")})
-    pairs: list[Column] = []
-    for name, code in sorted(names.items()):
-        pairs += [F.lit(name), F.lit(chr(code))]
-    return F.create_map(*pairs)
-
-
-def _code_point(ref: Column) -> Column:
-    hexadecimal = F.lower(ref).startswith("#x")
-    # The pattern bounds the digits, so neither conversion can overflow.
-    number = F.when(
-        hexadecimal, F.conv(F.substring(ref, 3, 6), 16, 10).try_cast("int")
-    ).otherwise(F.substring(ref, 2, 7).try_cast("int"))
-    valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
-    return F.when(
-        valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-    )
+    return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
 
 
 def decode_references(c: Column) -> Column:
-    """Replace ``&name;``, ``&#n;`` and ``&#xh;``; unknown references stay as they are."""
-    names = _named_references()
+    """Replace ``&name;``, ``&#n;`` and ``&#xh;``; unknown references stay as they are.
 
-    def decoded(part: Column) -> Column:
-        ref = F.regexp_extract(part, REFERENCE, 1)
-        char = F.when(ref.startswith("#"), _code_point(ref)).otherwise(F.try_element_at(names, ref))
-        rest = F.substring(part, F.length(ref) + 2, F.length(part))
-        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), part))
+    The text is cut at every ampersand and each piece is decoded on its own, so
+    decoded text is never read again. Pass a plain column: it is used repeatedly.
+    """
+    def split_off(piece: Column) -> Column:
+        return F.struct(piece.alias("piece"), F.regexp_extract(piece, REFERENCE, 1).alias("ref"))
+
+    def numbered(p: Column) -> Column:
+        # The pattern bounds the digits, so neither conversion can overflow.
+        number = F.when(
+            p["ref"].rlike("^#[xX]"), F.conv(F.substring(p["ref"], 3, 6), 16, 10).try_cast("int")
+        ).when(p["ref"].startswith("#"), F.substring(p["ref"], 2, 7).try_cast("int"))
+        return F.struct(p["piece"].alias("piece"), p["ref"].alias("ref"), number.alias("number"))
+
+    def decoded(p: Column) -> Column:
+        n = p["number"]
+        char = F.when(
+            n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF),
+            F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"),
+        ).when(n.isNull(), F.try_element_at(names, p["ref"]))
+        rest = F.substring(p["piece"], F.length(p["ref"]) + 2, F.length(p["piece"]))
+        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), p["piece"]))
 
-    parts = F.split(c, "&")
-    tail = F.transform(F.slice(parts, F.lit(2), F.size(parts)), decoded)
-    joined = F.concat(F.get(parts, F.lit(0)), F.array_join(tail, ""))
+    names = _named_references()
+    pieces = F.split(c, "&")
+    tail = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces), F.lit(0)))
+    for step in (split_off, numbered, decoded):
+        tail = F.transform(tail, step)
+    joined = F.concat(F.get(pieces, F.lit(0)), F.array_join(tail, ""))
     return F.when(c.contains("&"), joined).otherwise(c)
 
 
@@ -61,19 +65,35 @@ def without_comments(markup: Column) -> Column:
     return F.regexp_replace(markup, COMMENT, "")
 
 
-def element_text(markup: Column, name: str) -> Column:
-    """Stripped text of the first element called ``name``; absent gives ``''``.
+def element(markup: Column, name: str) -> Column:
+    """Undecoded text of the first element called ``name``; absent gives ``''``.
 
     An element that is never closed runs to the end of the markup.
     """
     pattern = rf"(?is)<{name}(?:\s[^>]*)?>(.*?)(?:</{name}\s*>|\z)"
-    inner = F.regexp_extract(markup, pattern, 1)
-    return strip(decode_references(F.regexp_replace(inner, TAG, "")))
+    return F.regexp_replace(F.regexp_extract(markup, pattern, 1), TAG, "")
+
 
+def attribute(markup: Column, owner: str, name: str) -> Column:
+    """Undecoded value of an attribute of the first such element; absent gives ``''``."""
+    opening = F.regexp_extract(markup, rf"(?is)<{owner}(\s[^>]*)>", 1)
+    value = F.regexp_extract(opening, rf"(?is)\s{name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 1)
+    return F.regexp_replace(value, r"(?s)^([\"'])(.*)\1$", "$2")
 
-def attribute(markup: Column, element: str, name: str) -> Column:
-    """Value of an attribute of the first such element; absent gives NULL."""
-    opening = F.regexp_extract(markup, rf"(?is)<{element}(\s[^>]*)>", 1)
-    pattern = rf"(?is)\s{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
-    value = F.concat(*[F.regexp_extract(opening, pattern, g) for g in (1, 2, 3)])
-    return F.when(opening.rlike(pattern), decode_references(value))
+
+def read_fields(df: DataFrame, markup: str, elements: dict[str, str], attributes: dict[str, tuple[str, str]]) -> DataFrame:
+    """Add decoded, stripped element texts and attribute values as columns.
+
+    ``elements`` maps a column to an element name, ``attributes`` a column to an
+    (element, attribute) pair. Cutting out, then decoding, in separate steps lets
+    every regular expression run once per row.
+    """
+    m = F.col("_markup")
+    cut = {column: element(m, name) for column, name in elements.items()}
+    cut.update({column: attribute(m, *where) for column, where in attributes.items()})
+    return (
+        df.withColumn("_markup", without_comments(F.col(markup)))
+        .withColumns(cut)
+        .withColumns({column: strip(decode_references(F.col(column))) for column in cut})
+        .drop("_markup")
+    )

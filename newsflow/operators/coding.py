@@ -39,9 +39,18 @@ class Dictionary:
     lengths: tuple[int, ...]  # phrase lengths in tokens, longest first
     small: bool
 
+    def first_words(self) -> DataFrame:
+        """Every word that starts a phrase: its own codes and the phrase lengths it starts."""
+        single = F.col("n") == 1
+        return self.entries.groupBy(F.split_part("phrase", F.lit(" "), F.lit(1)).alias("_gram1")).agg(
+            F.max(F.when(single, F.col("actor"))).alias("_actor1"),
+            F.max(F.when(single, F.col("verb"))).alias("_verb1"),
+            F.collect_set("n").alias("_starts"),
+        )
+
     def of_length(self, n: int) -> DataFrame:
         return self.entries.where(F.col("n") == n).select(
-            F.col("phrase").alias(f"_phrase{n}"),
+            F.col("phrase").alias(f"_gram{n}"),
             F.col("actor").alias(f"_actor{n}"),
             F.col("verb").alias(f"_verb{n}"),
         )
@@ -87,31 +96,40 @@ def _positions(sentences: DataFrame, keep: list[str], with_header: bool) -> Data
     words = sentences.withColumn("_words", text.tokens(F.lower("sentence")))
     found = F.coalesce("_words", F.array().cast("array<string>"))
     starts = F.concat(F.array(F.lit(None).cast("string")), found) if with_header else found
-    rows = words.select(*keep, "_words", F.posexplode(starts).alias("start", "_word"))
+    rows = words.select(*keep, "_words", F.posexplode(starts).alias("start", "_gram1"))
     return rows if with_header else rows.withColumn("start", F.col("start") + 1)
 
 
+def _look_up(rows: DataFrame, entries: DataFrame, gram: str, small: bool, spread: list[str]) -> DataFrame:
+    """Left join on one phrase column; the entry side is unique, so rows stay as many."""
+    if small:
+        return rows.join(F.broadcast(entries), gram, "left")
+    # A frequent word would fill one task: number the rows of each word and give
+    # every number its own copy of the entry.
+    salt = F.pmod(F.xxhash64(*spread, "start"), F.lit(SALTS)).cast("int")
+    copies = entries.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", salt).join(copies, [gram, "_salt"], "left").drop("_salt")
+
+
 def _matched(rows: DataFrame, dictionary: Dictionary, spread: list[str]) -> DataFrame:
-    """Add ``actor``/``verb`` structs (phrase, code) of the longest match at each start."""
+    """Add ``actor``/``verb`` structs (phrase, code) of the longest match at each start.
+
+    Rows that can neither match nor carry a sentence (start 0) are dropped after
+    the first look-up, and longer phrases are only spelled out where the first
+    word starts one of that length.
+    """
     start, words = F.col("start"), F.col("_words")
+    rows = _look_up(rows, dictionary.first_words(), "_gram1", dictionary.small, spread)
+    rows = rows.where((start == 0) | F.col("_starts").isNotNull())
     for n in dictionary.lengths:
-        gram = F.col("_word") if n == 1 else F.when(
-            (start > 0) & (start + n - 1 <= F.size(words)),
-            F.array_join(F.slice(words, F.greatest(start, F.lit(1)), F.lit(n)), " "),
+        if n == 1:
+            continue
+        gram = F.when(
+            F.array_contains("_starts", n) & (start + n - 1 <= F.size(words)),
+            F.array_join(F.slice(words, start, F.lit(n)), " "),
         )
-        entries = dictionary.of_length(n)
         rows = rows.withColumn(f"_gram{n}", gram)
-        match = F.col(f"_gram{n}") == F.col(f"_phrase{n}")
-        if dictionary.small:
-            rows = rows.join(F.broadcast(entries), match, "left")
-        else:
-            salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-            entries = entries.withColumn(f"_copy{n}", salts)
-            salt = F.pmod(F.xxhash64(*spread, "start"), F.lit(SALTS)).cast("int")
-            rows = rows.withColumn(f"_salt{n}", salt)
-            rows = rows.join(
-                entries, match & (F.col(f"_salt{n}") == F.col(f"_copy{n}")), "left"
-            )
+        rows = _look_up(rows, dictionary.of_length(n), f"_gram{n}", dictionary.small, spread)
 
     def longest(kind: str) -> Column:
         found = [

@@ -41,15 +41,11 @@ def parse_articles(df: DataFrame, doc: str = "doc") -> DataFrame:
 
     One narrow projection: the markup is scanned once and never shuffled.
     """
-    clean = df.withColumn("_markup", markup.without_comments(F.col(doc)))
-    m = F.col("_markup")
-    fields = clean.withColumns({
-        "doc_id": markup.attribute(m, "doc", "id"),
-        "doc_type": F.coalesce(markup.attribute(m, "doc", "type"), F.lit("")),
-        "article_title": markup.element_text(m, "headline"),
-        "dateline": markup.element_text(m, "dateline"),
-        "article_body": markup.element_text(m, "text"),
-    }).drop("_markup")
+    fields = markup.read_fields(
+        df, doc,
+        elements={"article_title": "headline", "dateline": "dateline", "article_body": "text"},
+        attributes={"doc_id": ("doc", "id"), "doc_type": ("doc", "type")},
+    )
     fields = fields.withColumns({
         "type": F.col("doc_type"),
         "word_count": text.word_count(F.col("article_body")),
@@ -73,17 +69,11 @@ def story_record(articles: DataFrame, added: Column | None = None) -> DataFrame:
 
 def extract_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     """Title, language attribute, article text and word count of web pages."""
-    m = F.col("_markup")
-    return (
-        pages.withColumn("_markup", markup.without_comments(F.col(html)))
-        .withColumns({
-            "title": markup.element_text(m, "title"),
-            "language": F.coalesce(markup.attribute(m, "html", "lang"), F.lit("")),
-            "article_text": markup.element_text(m, "article"),
-        })
-        .withColumn("word_count", text.word_count(F.col("article_text")))
-        .drop("_markup", html)
-    )
+    return markup.read_fields(
+        pages, html,
+        elements={"title": "title", "article_text": "article"},
+        attributes={"language": ("html", "lang")},
+    ).withColumn("word_count", text.word_count(F.col("article_text"))).drop(html)
 
 
 def xml_image(stories: DataFrame, language: str = "ARB", key: str = "doc_key") -> DataFrame:

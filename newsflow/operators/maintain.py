@@ -76,8 +76,9 @@ def merge_annotations(
 
 
 def write_back_date(stories: DataFrame, raw: str = "publication_date_raw", max_year: int | None = 2016) -> DataFrame:
-    """Add ``date_int``; the reference key update is a derived column on the same row."""
-    return stories.withColumn("date_int", dates.date_int(dates.robust_date(F.col(raw), max_year)))
+    """Add ``date_int``: a keyed update of each row by itself is a derived column, not a join."""
+    dated = dates.robust_date(stories, raw, "_date", max_year)
+    return dated.withColumn("date_int", dates.date_int(F.col("_date"))).drop("_date")
 
 
 def date_range(stories: DataFrame, date_int: str = "date_int") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from newsflow.functions import dates, markup, messages, text
 from newsflow.operators import annotate, coding, extract, maintain, monitor
-from newsflow.sources.tables import stories, table
+from newsflow.sources.tables import spread, spread_stories, stories, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,11 +39,11 @@ def _dictionary(spark: SparkSession) -> coding.Dictionary:
 
 
 def _annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return annotate.annotate(stories(spark, sf_dir))
+    return annotate.annotate(spread_stories(spark, sf_dir))
 
 
 def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return annotate.split_sentences(stories(spark, sf_dir), "doc_key")
+    return annotate.split_sentences(spread_stories(spark, sf_dir), "doc_key")
 
 
 def _coded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +67,7 @@ def corpus_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
     German documents have no dateline and Spanish ones no type; short documents
     carry an id without a date, and quoting and tag case vary.
     """
-    s = stories(spark, sf_dir)
+    s = spread_stories(spark, sf_dir)
     doc_id = F.when(
         F.length("article_body") < 200, F.regexp_replace("doc_id", r"_[0-9]{8}", "_undated")
     ).otherwise(F.col("doc_id"))
@@ -99,7 +99,7 @@ def printed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         7: F.concat(F.lit("Foo "), F.date_format(d, "d, yyyy")),
     }
     raw = F.coalesce(*[F.when(F.pmod(key, F.lit(8)) == i, c) for i, c in shapes.items()])
-    return table(spark, sf_dir, "orders").select("o_orderkey", raw.alias("publication_date_raw"))
+    return spread(table(spark, sf_dir, "orders")).select("o_orderkey", raw.alias("publication_date_raw"))
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +108,7 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     Spanish stories come without an object id, German ones with a parsed date
     only, and short ones are cut off in the middle.
     """
-    s = stories(spark, sf_dir)
+    s = spread_stories(spark, sf_dir)
     key = F.when(F.col("language") != "SPA", F.struct(F.concat(F.lit("oid"), F.col("doc_key")).alias("$oid")))
     german = F.col("language") == "GER"
     millis = F.unix_millis(F.col("publication_date").cast("timestamp"))
@@ -136,7 +136,7 @@ def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_count(spark, sf_dir):
-    return stories(spark, sf_dir).select("doc_key", text.word_count(F.col("article_body")).alias("word_count"))
+    return spread_stories(spark, sf_dir).select("doc_key", text.word_count(F.col("article_body")).alias("word_count"))
 
 
 def byte_length(spark, sf_dir):
@@ -146,7 +146,7 @@ def byte_length(spark, sf_dir):
 def language_stats(spark, sf_dir):
     """Flagship: per language documents, sentences, words and bytes in one pass."""
     body = F.col("article_body")
-    return stories(spark, sf_dir).groupBy("language").agg(
+    return spread_stories(spark, sf_dir).groupBy("language").agg(
         F.count("*").alias("documents"),
         F.sum(F.size(text.sentences(body))).alias("sentences"),
         F.sum(text.word_count(body)).alias("words"),
@@ -155,7 +155,7 @@ def language_stats(spark, sf_dir):
 
 
 def _ids(spark, sf_dir):
-    s = stories(spark, sf_dir)
+    s = spread_stories(spark, sf_dir)
     # Publisher codes are three letters; the last digit of a source number makes
     # some malformed, and documents of some lengths carry impossible dates.
     source = F.concat(F.lit("SR"), F.translate(F.substring("news_source", -1, 1), "0123456789", "ABCDEFGh8_"))
@@ -185,7 +185,7 @@ def quarantine_articles(spark, sf_dir):
 
 
 def extract_pages(spark, sf_dir):
-    return extract.extract_pages(table(spark, sf_dir, "pages"))
+    return extract.extract_pages(spread(table(spark, sf_dir, "pages")))
 
 
 def story_record(spark, sf_dir):
@@ -215,13 +215,11 @@ def date_simple(spark, sf_dir):
 
 
 def date_robust(spark, sf_dir):
-    raw = F.col("publication_date_raw")
-    return printed_dates(spark, sf_dir).withColumn("date", dates.robust_date(raw))
+    return dates.robust_date(printed_dates(spark, sf_dir), "publication_date_raw")
 
 
 def date_robust_fixed(spark, sf_dir):
-    raw = F.col("publication_date_raw")
-    return printed_dates(spark, sf_dir).withColumn("date", dates.robust_date_fixed(raw))
+    return dates.robust_date_fixed(printed_dates(spark, sf_dir), "publication_date_raw")
 
 
 def date_int_writeback(spark, sf_dir):
@@ -265,7 +263,7 @@ def split_sentences(spark, sf_dir):
 
 
 def split_turns(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations")
+    turns = spread(table(spark, sf_dir, "conversations"))
     return annotate.split_sentences(turns, "conv_id", "turn", body="text")
 
 
@@ -350,7 +348,7 @@ def shuffled_cap(spark, sf_dir):
 
 
 def batch_stats(spark, sf_dir):
-    marked = maintain.mark_processed(stories(spark, sf_dir), _stored(spark, sf_dir), RECENT)
+    marked = maintain.mark_processed(spread_stories(spark, sf_dir), _stored(spark, sf_dir), RECENT)
     stats = monitor.batch_stats(marked, skipped="skipped")
     return monitor.running_totals(stats, "batch_id", total_docs_processed="io_operations")
 

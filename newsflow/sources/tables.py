@@ -39,3 +39,18 @@ def stories_of(documents: DataFrame) -> DataFrame:
 
 def stories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stories_of(table(spark, sf_dir, "documents"))
+
+
+def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
+    """Give CPU-heavy work on a small input every core.
+
+    A table with a single file or row group is one task however many cores wait.
+    Inputs that already have a partition per core - any large one - are returned
+    as they are, so nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(per_core * cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def spread_stories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stories_of(spread(table(spark, sf_dir, "documents")))
