@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow import schemas
@@ -14,11 +14,16 @@ from newsflow.functions import text
 Annotator = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
+def _exploded(df: DataFrame, keep: tuple[str, ...], items: Column, name: str) -> DataFrame:
+    # The outer form, then a filter: for the inner form the planner infers an
+    # emptiness filter and computes the array a second time for it.
+    rows = df.select(*keep, F.posexplode_outer(items).alias("_pos", name))
+    return rows.where(F.col("_pos").isNotNull())
+
+
 def split_sentences(df: DataFrame, *keep: str, body: str = "article_body") -> DataFrame:
     """One row per sentence with its 1-based ordinal. Narrow: no shuffle."""
-    return df.select(
-        *keep, F.posexplode(text.sentences(F.col(body))).alias("_pos", "sentence")
-    ).select(*keep, (F.col("_pos") + 1).alias("sen_id"), "sentence")
+    return _exploded(df, keep, text.sentences(F.col(body)), "sentence").select(*keep, (F.col("_pos") + 1).alias("sen_id"), "sentence")
 
 
 def explode_tokens(sentences: DataFrame, *keep: str) -> DataFrame:
@@ -26,9 +31,7 @@ def explode_tokens(sentences: DataFrame, *keep: str) -> DataFrame:
 
     Part-of-speech and entity tags belong to an external annotator and stay NULL.
     """
-    return sentences.select(
-        *keep, F.posexplode(text.tokens(F.col("sentence"))).alias("_pos", "word")
-    ).select(
+    return _exploded(sentences, keep, text.tokens(F.col("sentence")), "word").select(
         *keep, (F.col("_pos") + 1).alias("pos"), "word",
         F.lit(None).cast("string").alias("tag"), F.lit(None).cast("string").alias("ne"),
     )
@@ -92,4 +95,5 @@ def from_stored(stored: DataFrame) -> DataFrame:
 
 def explode_sentences(annotated: DataFrame) -> DataFrame:
     """One row per sentence of annotated documents."""
-    return annotated.select("doc_key", "doc_id", "date", F.inline("sentences"))
+    rows = annotated.select("doc_key", "doc_id", "date", F.inline_outer("sentences"))
+    return rows.where(F.col("sen_id").isNotNull())

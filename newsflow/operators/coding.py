@@ -96,7 +96,9 @@ def _positions(sentences: DataFrame, keep: list[str], with_header: bool) -> Data
     words = sentences.withColumn("_words", text.tokens(F.lower("sentence")))
     found = F.coalesce("_words", F.array().cast("array<string>"))
     starts = F.concat(F.array(F.lit(None).cast("string")), found) if with_header else found
-    rows = words.select(*keep, "_words", F.posexplode(starts).alias("start", "_gram1"))
+    # The outer form keeps the planner from computing the array twice, once for
+    # an inferred emptiness filter; the look-up drops the rows of empty arrays.
+    rows = words.select(*keep, "_words", F.posexplode_outer(starts).alias("start", "_gram1"))
     return rows if with_header else rows.withColumn("start", F.col("start") + 1)
 
 
@@ -124,9 +126,10 @@ def _matched(rows: DataFrame, dictionary: Dictionary, spread: list[str]) -> Data
     for n in dictionary.lengths:
         if n == 1:
             continue
+        following = [F.get(words, start + i) for i in range(n - 1)]
         gram = F.when(
-            F.array_contains("_starts", n) & (start + n - 1 <= F.size(words)),
-            F.array_join(F.slice(words, start, F.lit(n)), " "),
+            F.array_contains("_starts", n) & following[-1].isNotNull(),
+            F.concat_ws(" ", "_gram1", *following),
         )
         rows = rows.withColumn(f"_gram{n}", gram)
         rows = _look_up(rows, dictionary.of_length(n), f"_gram{n}", dictionary.small, spread)
@@ -169,47 +172,51 @@ def code_documents(annotated: DataFrame, dictionary: Dictionary) -> DataFrame:
     copies of a document, however many, stay spread over as many groups as there
     are input partitions, collapse inside each, and are counted and restored.
     """
-    identity = ["doc_key", "doc_id", "date", "_content", "_part"]
+    identity = ["_hash_a", "_hash_b", "_part"]
+    document = ["doc_key", "doc_id", "date"]
+    content = [F.col(c) for c in (*document, "sentences")]
     docs = annotated.withColumns({
-        "_content": F.struct(
-            F.xxhash64("sentences").alias("a"), F.xxhash64(F.lit(1), "sentences").alias("b")
-        ),
+        "_hash_a": F.xxhash64(*content),
+        "_hash_b": F.xxhash64(F.lit(1), *content),
         "_part": F.spark_partition_id(),
     })
-    sentences = docs.select(*identity, F.inline_outer("sentences"))
+    sentences = docs.select(*identity, *document, F.inline_outer("sentences"))
     rows = _matched(
-        _positions(sentences, identity + ["sen_id", "sentence", "tree"], with_header=True),
-        dictionary, ["doc_key", "sen_id"],
+        _positions(sentences, [*identity, *document, "sen_id", "sentence", "tree"], with_header=True),
+        dictionary, ["_hash_a", "sen_id"],
     )
     header = F.col("start") == 0
+    # Only the header carries text; a match is a position, a length and a code.
+    head = F.when(header, F.struct(
+        *document, "sentence", "tree", F.col("sentence").rlike(WORD_CHARACTER).alias("codable")
+    ))
     rows = rows.where(header | F.col("actor").isNotNull() | F.col("verb").isNotNull()).select(
-        *identity, "sen_id", "start", "actor", "verb",
-        F.when(header, F.col("sentence")).alias("sentence"),
-        F.when(header, F.col("tree")).alias("tree"),
-        F.when(header, F.col("sentence").rlike(WORD_CHARACTER)).alias("codable"),
+        *identity, "sen_id", F.struct("start", head.alias("head"), "actor", "verb").alias("_mark"),
     )
-    marks = F.struct("start", "actor", "verb", "sentence", "tree", "codable")
     per_sentence = (
         rows.repartition(*identity)
         .groupBy(*identity, "sen_id")
         .agg(
             # A set, so the marks of copies merge; it holds one sentence at most.
-            F.array_sort(F.collect_set(marks)).alias("_marks"),
-            F.count_if(header).alias("_copies"),
+            F.array_sort(F.collect_set("_mark")).alias("_marks"),
+            F.count_if(F.col("_mark.start") == 0).alias("_copies"),
         )
+        .withColumn("_head", F.col("_marks")[0]["head"])
     )
+    coded = F.when(F.col("sen_id").isNotNull(), _coded_sentence(F.col("_marks"), F.col("sen_id")))
     per_document = (
-        per_sentence.withColumn("_coded", _coded_sentence(F.col("_marks"), F.col("sen_id")))
+        per_sentence.withColumn("_coded", coded)
         .groupBy(*identity)
         .agg(
-            F.array_sort(F.collect_list(F.when(F.col("sen_id").isNotNull(), F.col("_coded")))).alias("coded"),
+            F.array_sort(F.collect_list("_coded")).alias("coded"),
             F.max("_copies").alias("_copies"),
+            *[F.first(f"_head.{c}").alias(c) for c in document],
         )
     )
     return (
         per_document
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-        .select("doc_key", "doc_id", "date", "coded")
+        .withColumn("_copy", F.explode_outer(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+        .select(*document, "coded")
     )
 
 
@@ -219,7 +226,7 @@ def _coded_sentence(marks: Column, sen_id: Column) -> Column:
     Events need two actors: the first actor of the sentence acts on the last one
     through every verb that starts between them.
     """
-    head = F.get(marks, F.lit(0))
+    head = F.get(marks, F.lit(0))["head"]
     actors = F.filter(marks, lambda m: m["actor"].isNotNull())
     verbs = F.filter(marks, lambda m: m["verb"].isNotNull())
     first, last = F.get(actors, F.lit(0)), F.try_element_at(actors, F.lit(-1))
@@ -326,8 +333,8 @@ def phrases_by_sentence(coded: DataFrame) -> DataFrame:
 def explode_phrases(by_sentence: DataFrame) -> DataFrame:
     """Rows of the phrase map."""
     return by_sentence.select(
-        "doc_id", "mongo_id", "sents_count", F.explode("phrases").alias("sentence", "p")
-    ).select("doc_id", "mongo_id", "sents_count", "sentence", "p.*")
+        "doc_id", "mongo_id", "sents_count", F.explode_outer("phrases").alias("sentence", "p")
+    ).where(F.col("sentence").isNotNull()).select("doc_id", "mongo_id", "sents_count", "sentence", "p.*")
 
 
 def sentence_outcomes(coded: DataFrame) -> DataFrame:
@@ -343,7 +350,7 @@ def first_event(coded: DataFrame) -> DataFrame:
     """First event per sentence by position; absent gives empty strings."""
     s = F.col("s")
     event = F.get(s["events"], F.lit(0))
-    return coded.select("doc_key", F.explode("coded").alias("s")).select(
+    return coded.select("doc_key", F.explode_outer("coded").alias("s")).where(s.isNotNull()).select(
         "doc_key", s["sen_id"].alias("sen_id"),
         *[F.coalesce(F.get(event, F.lit(i)), F.lit("")).alias(name)
           for i, name in enumerate(("source", "target", "code"))],
@@ -381,12 +388,12 @@ def flatten_events(by_doc: DataFrame) -> DataFrame:
     texts = F.from_json(
         F.from_json("output", schemas.MAIN_OUTPUT)["main_output"], schemas.STRINGS
     )
-    results = by_doc.select("mongo_id", "sents_count", F.explode(texts).alias("r")).withColumn(
+    results = by_doc.select("mongo_id", "sents_count", F.explode_outer(texts).alias("r")).withColumn(
         "r", F.from_json("r", schemas.CODER_RESULT)
     )
     sents = F.try_element_at(F.col("r"), F.col("mongo_id"))["sents"]
     return (
-        results.select("mongo_id", "sents_count", F.explode(sents).alias("key", "s"))
+        results.select("mongo_id", "sents_count", F.explode_outer(sents).alias("key", "s"))
         .withColumn("sen_id", F.col("key").try_cast("int"))
         .where(
             F.col("s.events").isNotNull() & F.col("sen_id").between(1, F.col("sents_count"))

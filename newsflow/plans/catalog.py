@@ -33,8 +33,10 @@ VERBS = {
 
 
 def _dictionary(spark: SparkSession) -> coding.Dictionary:
-    actors = spark.createDataFrame(list(ACTORS.items()), "phrase string, code string")
-    verbs = spark.createDataFrame(list(VERBS.items()), "phrase string, code string")
+    actors, verbs = (
+        spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, d.items()))} AS t(phrase, code)")
+        for d in (ACTORS, VERBS)
+    )
     return coding.load_dictionary(actors, verbs)
 
 
