@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from newsflow.functions import dates, markup, messages, text
 from newsflow.operators import annotate, coding, extract, maintain, monitor
-from newsflow.sources.tables import spread, spread_stories, stories, table
+from newsflow.session import shared_folder
+from newsflow.sinks import documents, xml
+from newsflow.sources.corpus import read_corpus
+from newsflow.sources.messages import read_messages
+from newsflow.sources.tables import spread, spread_stories, stories, stories_of, table
+from newsflow.streaming import annotate as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -372,6 +377,63 @@ def progress(spark, sf_dir):
     return monitor.progress(stories(spark, sf_dir))
 
 
+# --- sources, sinks and the streaming job --------------------------------------
+
+
+def corpus_files(spark, sf_dir):
+    """Print the corpus to files, then read and extract it from there."""
+    folder = shared_folder(spark, "corpus")
+    corpus_markup(spark, sf_dir).select("doc").write.text(f"{folder}/part-a")
+    return _printed(extract.extract_articles(read_corpus(spark, folder)))
+
+
+def message_files(spark, sf_dir):
+    """Publish the stories as messages, then read and decode them."""
+    folder = shared_folder(spark, "messages")
+    s = stories(spark, sf_dir).select("doc_key", "doc_id", "publication_date", "article_body")
+    documents.publish_stories(s, folder, key="doc_key")
+    return messages.decode(read_messages(spark, folder)).select("doc_key", "doc_id", "date", "article_body", "error")
+
+
+def xml_files(spark, sf_dir):
+    """Export the articles of one language as chunked XML, then read them back."""
+    folder = shared_folder(spark, "xml")
+    xml.write_articles(stories(spark, sf_dir), folder, FIRST, EXPORT_LANGUAGE)
+    return xml.read_articles(spark, folder)
+
+
+def coded_files(spark, sf_dir):
+    """Code the documents in one distributed write, then count what was stored."""
+    folder = shared_folder(spark, "coded")
+    documents.write_coded(_coded(spark, sf_dir), folder, batch_size=5000)
+    return coding.sentence_outcomes(spark.read.parquet(folder))
+
+
+def _run_stream(spark, sf_dir):
+    folder = shared_folder(spark, "stream")
+    source = table(spark, sf_dir, "documents").schema
+    arriving = stories_of(spark.readStream.schema(source).parquet(f"{sf_dir}/documents*.parquet"))
+    arriving = arriving.select("doc_key", "doc_id", "publication_date", "article_body")
+    values = arriving.select(messages.story_message(arriving, key="doc_key").alias("value"))
+    query = streaming.stream_annotate(values, f"{folder}/out", f"{folder}/checkpoint", every=None)
+    query.awaitTermination()
+    return f"{folder}/out"
+
+
+def stream_annotate(spark, sf_dir):
+    """The documents as a message stream, annotated by the streaming job."""
+    stored = streaming.read_annotated(spark, _run_stream(spark, sf_dir))
+    return annotate.to_stored(stored)
+
+
+def stream_stats(spark, sf_dir):
+    """What the streaming job counted, without its clock."""
+    stats = streaming.read_batch_stats(spark, _run_stream(spark, sf_dir))
+    return stats.agg(*[
+        F.sum(c).alias(c) for c in ("batch_size", "docs_size", "sentences", "io_operations")
+    ])
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         language_stats, word_count, byte_length, decode_doc_id, quarantine_bad_ids,
@@ -384,5 +446,6 @@ QUERIES: dict[str, Query] = {
         first_event, flatten_events,
         recent_ids, skip_processed, skip_all_processed, merge_annotations, shuffled_cap,
         batch_stats, batch_averages, progress,
+        corpus_files, message_files, xml_files, coded_files, stream_annotate, stream_stats,
     )
 }

@@ -370,3 +370,14 @@ SELECT batch_id, batch_rows, CAST(sum(batch_rows) OVER () AS BIGINT) AS total_ro
        CAST(sum(batch_rows) OVER () - sum(batch_rows) OVER (ORDER BY batch_id) AS BIGINT) AS remaining_rows
 FROM sizes""",
 }
+
+ORACLE["corpus_files"] = ORACLE["extract_articles"]
+ORACLE["xml_files"] = ORACLE["xml_articles"]
+ORACLE["coded_files"] = ORACLE["sentence_outcomes"]
+ORACLE["stream_annotate"] = ORACLE["annotated_documents"]
+ORACLE["message_files"] = _with(_STORIES) + """
+SELECT doc_key, doc_id, date, article_body, CAST(NULL AS VARCHAR) AS error FROM stories"""
+ORACLE["stream_stats"] = _with(_STORIES) + f"""
+SELECT count(*) AS batch_size, CAST(sum(strlen(article_body)) AS BIGINT) AS docs_size,
+       CAST(sum(len({_split('article_body')})) AS BIGINT) AS sentences, count(*) AS io_operations
+FROM stories"""
