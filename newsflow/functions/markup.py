@@ -70,7 +70,8 @@ def element(markup: Column, name: str) -> Column:
 
     An element that is never closed runs to the end of the markup.
     """
-    pattern = rf"(?is)<{name}(?:\s[^>]*)?>(.*?)(?:</{name}\s*>|\z)"
+    # Possessive runs up to each "<": one test per tag instead of one per character.
+    pattern = rf"(?is)<{name}(?:\s[^>]*)?>((?:[^<]++|<(?!/{name}\s*>))*+)"
     return F.regexp_replace(F.regexp_extract(markup, pattern, 1), TAG, "")
 
 

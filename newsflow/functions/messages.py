@@ -8,11 +8,16 @@ from pyspark.sql import functions as F
 from newsflow import schemas
 
 
-def _extended_date(c: Column) -> Column:
-    """A date as ``{"$date": milliseconds}``."""
-    return F.when(
-        c.isNotNull(), F.struct(F.unix_millis(c.cast("timestamp")).alias("$date"))
-    )
+DAY_MILLIS = 86_400_000
+
+
+def _extended_date(c: Column, kind: str) -> Column:
+    """A date or timestamp as ``{"$date": milliseconds since 1970 UTC}``."""
+    if kind == "date":
+        millis = F.unix_date(c).cast("bigint") * DAY_MILLIS
+    else:
+        millis = F.unix_millis(c.cast("timestamp"))
+    return F.when(c.isNotNull(), F.struct(millis.alias("$date")))
 
 
 def story_message(stories: DataFrame, key: str | None = None) -> Column:
@@ -24,8 +29,9 @@ def story_message(stories: DataFrame, key: str | None = None) -> Column:
         if field.name == key:
             continue
         c = F.col(field.name)
-        if field.dataType.typeName() in ("date", "timestamp", "timestamp_ntz"):
-            c = _extended_date(c)
+        kind = field.dataType.typeName()
+        if kind in ("date", "timestamp", "timestamp_ntz"):
+            c = _extended_date(c, kind)
         fields.append(c.alias(field.name))
     return F.to_json(F.struct(*fields))
 
@@ -48,7 +54,7 @@ def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     )
     m = F.col("_message")
     millis = m["publication_date"]["$date"]
-    day = F.date_format(F.timestamp_millis(millis), "yyyyMMdd")
+    day = F.date_format(F.date_from_unix_date(F.floor(millis / DAY_MILLIS).cast("int")), "yyyyMMdd")
     key = F.coalesce(m["_id"]["$oid"], m["doc_id"])
     return messages.withColumn("_message", parsed).withColumns({
         "doc_key": key,

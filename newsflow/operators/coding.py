@@ -198,7 +198,7 @@ def code_documents(annotated: DataFrame, dictionary: Dictionary) -> DataFrame:
         .groupBy(*identity, "sen_id")
         .agg(
             # A set, so the marks of copies merge; it holds one sentence at most.
-            F.array_sort(F.collect_set("_mark")).alias("_marks"),
+            F.sort_array(F.collect_set("_mark")).alias("_marks"),
             F.count_if(F.col("_mark.start") == 0).alias("_copies"),
         )
         .withColumn("_head", F.col("_marks")[0]["head"])
@@ -208,7 +208,7 @@ def code_documents(annotated: DataFrame, dictionary: Dictionary) -> DataFrame:
         per_sentence.withColumn("_coded", coded)
         .groupBy(*identity)
         .agg(
-            F.array_sort(F.collect_list("_coded")).alias("coded"),
+            F.sort_array(F.collect_list("_coded")).alias("coded"),
             F.max("_copies").alias("_copies"),
             *[F.first(f"_head.{c}").alias(c) for c in document],
         )
@@ -315,17 +315,15 @@ def phrases_by_sentence(coded: DataFrame) -> DataFrame:
     Sentences with an error are left out.
     """
     good = F.filter("coded", lambda s: s["error"].isNull())
-    ordered = F.array_sort(F.transform(good, lambda s: F.struct(
+    ordered = F.sort_array(F.transform(good, lambda s: F.struct(
         s["sentence"].alias("sentence"), (-s["sen_id"]).alias("order"), _phrases(s).alias("phrases")
     )))
-    shifted = F.concat(F.array(F.lit(None).cast("string")), F.transform(ordered, lambda s: s["sentence"]))
-    paired = F.arrays_zip(ordered.alias("cur"), F.slice(shifted, F.lit(1), F.size(ordered)).alias("prev"))
-    kept = F.filter(paired, lambda p: ~p["cur"]["sentence"].eqNullSafe(p["prev"]))
-    entries = F.transform(kept, lambda p: F.struct(p["cur"]["sentence"], p["cur"]["phrases"]))
-    return coded.select(
+    latest = F.filter("_ordered", lambda s, i: (i == 0) | (
+        s["sentence"] != F.get(F.col("_ordered"), i - 1)["sentence"]))
+    return coded.withColumn("_ordered", ordered).select(
         "doc_id",
         F.col("doc_key").alias("mongo_id"),
-        F.map_from_entries(entries).alias("phrases"),
+        F.map_from_entries(F.transform(latest, lambda s: F.struct(s["sentence"], s["phrases"]))).alias("phrases"),
         F.size("coded").alias("sents_count"),
     )
 

@@ -118,7 +118,7 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = spread_stories(spark, sf_dir)
     key = F.when(F.col("language") != "SPA", F.struct(F.concat(F.lit("oid"), F.col("doc_key")).alias("$oid")))
     german = F.col("language") == "GER"
-    millis = F.unix_millis(F.col("publication_date").cast("timestamp"))
+    millis = F.unix_date("publication_date").cast("bigint") * messages.DAY_MILLIS
     value = F.to_json(F.struct(
         key.alias("_id"), "doc_id", "article_body",
         F.when(~german, F.date_format("publication_date", "MMMM d, yyyy")).alias("publication_date_raw"),

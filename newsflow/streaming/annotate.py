@@ -26,6 +26,7 @@ from newsflow import schemas
 from newsflow.functions import messages, text
 from newsflow.operators import annotate, maintain
 from newsflow.sinks.documents import write_batch
+from newsflow.sources.tables import spread
 
 STORED_KEYS = "doc_key string, batch_id bigint"
 STATS = (
@@ -63,7 +64,7 @@ def _process(
 ) -> None:
     started = time.monotonic()
     spark = batch.sparkSession
-    decoded = messages.decode(batch).persist(StorageLevel.MEMORY_AND_DISK)
+    decoded = messages.decode(spread(batch)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         write_batch(
             decoded.where(F.col("error").isNotNull()).select("value", "error"),
