@@ -91,48 +91,69 @@ def load_dictionary(
     return Dictionary(entries, tuple(sorted(size["lengths"], reverse=True)), small)
 
 
-def _positions(sentences: DataFrame, keep: list[str], with_header: bool) -> DataFrame:
-    """One row per token start; position 0, if asked for, stands for the sentence itself."""
-    words = sentences.withColumn("_words", text.tokens(F.lower("sentence")))
-    found = F.coalesce("_words", F.array().cast("array<string>"))
-    starts = F.concat(F.array(F.lit(None).cast("string")), found) if with_header else found
+def _token_rows(
+    sentences: DataFrame, dictionary: Dictionary, keep: list[str], head: Column | None = None
+) -> DataFrame:
+    """One row per token start, ready for look-up.
+
+    With ``head`` an extra row at position 0 stands for the sentence and is the
+    only one to carry that value. For a shuffled look-up the phrases are spelled
+    out here, so that no row takes the whole sentence through a shuffle.
+    """
+    words = F.col("_words")
+    found = F.coalesce(text.tokens(F.lower("sentence")), F.array().cast("array<string>"))
+    starts = words if head is None else F.concat(F.array(F.lit(None).cast("string")), words)
     # The outer form keeps the planner from computing the array twice, once for
     # an inferred emptiness filter; the look-up drops the rows of empty arrays.
-    rows = words.select(*keep, "_words", F.posexplode_outer(starts).alias("start", "_gram1"))
-    return rows if with_header else rows.withColumn("start", F.col("start") + 1)
+    rows = sentences.withColumn("_words", found).select(
+        "*", F.posexplode_outer(starts).alias("start", "_gram1")
+    )
+    if head is None:
+        rows = rows.withColumn("start", F.col("start") + 1)
+    carried = [*keep, "start", "_gram1"]
+    if head is not None:
+        carried.append(F.when(F.col("start") == 0, head).alias("head"))
+    if dictionary.small:
+        return rows.select(*carried, "_words")
+    # The input partition is part of the salt: copies of a text do not share it.
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), "sen_id", "start"), F.lit(SALTS)).cast("int")
+    return rows.select(
+        *carried, salt.alias("_salt"),
+        *[_spelled(n).alias(f"_gram{n}") for n in dictionary.lengths if n > 1],
+    )
 
 
-def _look_up(rows: DataFrame, entries: DataFrame, gram: str, small: bool, spread: list[str]) -> DataFrame:
+def _spelled(n: int) -> Column:
+    """The phrase of ``n`` tokens from ``start``, or NULL at the end of the sentence."""
+    following = [F.get("_words", F.col("start") + i) for i in range(n - 1)]
+    complete = (F.col("start") > 0) & following[-1].isNotNull()
+    return F.when(complete, F.concat_ws(" ", "_gram1", *following))
+
+
+def _look_up(rows: DataFrame, entries: DataFrame, gram: str, small: bool) -> DataFrame:
     """Left join on one phrase column; the entry side is unique, so rows stay as many."""
     if small:
         return rows.join(F.broadcast(entries), gram, "left")
-    # A frequent word would fill one task: number the rows of each word and give
-    # every number its own copy of the entry.
-    salt = F.pmod(F.xxhash64(*spread, "start"), F.lit(SALTS)).cast("int")
+    # A frequent word would fill one task: every salt has its own copy of the entry.
     copies = entries.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("_salt", salt).join(copies, [gram, "_salt"], "left").drop("_salt")
+    return rows.join(copies, [gram, "_salt"], "left")
 
 
-def _matched(rows: DataFrame, dictionary: Dictionary, spread: list[str]) -> DataFrame:
+def _matched(rows: DataFrame, dictionary: Dictionary) -> DataFrame:
     """Add ``actor``/``verb`` structs (phrase, code) of the longest match at each start.
 
-    Rows that can neither match nor carry a sentence (start 0) are dropped after
-    the first look-up, and longer phrases are only spelled out where the first
-    word starts one of that length.
+    Rows that can neither match nor stand for a sentence (start 0) are dropped
+    after the first look-up, and longer phrases are only looked up where the
+    first word starts one of that length.
     """
-    start, words = F.col("start"), F.col("_words")
-    rows = _look_up(rows, dictionary.first_words(), "_gram1", dictionary.small, spread)
-    rows = rows.where((start == 0) | F.col("_starts").isNotNull())
+    rows = _look_up(rows, dictionary.first_words(), "_gram1", dictionary.small)
+    rows = rows.where((F.col("start") == 0) | F.col("_starts").isNotNull())
     for n in dictionary.lengths:
         if n == 1:
             continue
-        following = [F.get(words, start + i) for i in range(n - 1)]
-        gram = F.when(
-            F.array_contains("_starts", n) & following[-1].isNotNull(),
-            F.concat_ws(" ", "_gram1", *following),
-        )
-        rows = rows.withColumn(f"_gram{n}", gram)
-        rows = _look_up(rows, dictionary.of_length(n), f"_gram{n}", dictionary.small, spread)
+        phrase = _spelled(n) if dictionary.small else F.col(f"_gram{n}")
+        rows = rows.withColumn(f"_gram{n}", F.when(F.array_contains("_starts", n), phrase))
+        rows = _look_up(rows, dictionary.of_length(n), f"_gram{n}", dictionary.small)
 
     def longest(kind: str) -> Column:
         found = [
@@ -154,9 +175,10 @@ def dictionary_hits(
 
     Matches that start at different positions may overlap; all are kept. With a
     small dictionary the plan is one pass of broadcast joins without a shuffle.
+    ``sentences`` has the columns ``sen_id`` and ``sentence`` besides ``keep``.
     """
     keys = list(keep)
-    rows = _matched(_positions(sentences, keys, with_header=False), dictionary, keys)
+    rows = _matched(_token_rows(sentences, dictionary, keys), dictionary)
     return rows.where(F.col(kind).isNotNull()).select(
         *keys, "start", F.col(f"{kind}.n").alias("n"),
         F.col(f"{kind}.phrase").alias("phrase"), F.col(f"{kind}.code").alias("code"),
@@ -181,18 +203,12 @@ def code_documents(annotated: DataFrame, dictionary: Dictionary) -> DataFrame:
         "_part": F.spark_partition_id(),
     })
     sentences = docs.select(*identity, *document, F.inline_outer("sentences"))
-    rows = _matched(
-        _positions(sentences, [*identity, *document, "sen_id", "sentence", "tree"], with_header=True),
-        dictionary, ["_hash_a", "sen_id"],
-    )
-    header = F.col("start") == 0
-    # Only the header carries text; a match is a position, a length and a code.
-    head = F.when(header, F.struct(
-        *document, "sentence", "tree", F.col("sentence").rlike(WORD_CHARACTER).alias("codable")
-    ))
-    rows = rows.where(header | F.col("actor").isNotNull() | F.col("verb").isNotNull()).select(
-        *identity, "sen_id", F.struct("start", head.alias("head"), "actor", "verb").alias("_mark"),
-    )
+    # Only the header row carries text; a match is a position, a length and a code.
+    head = F.struct(*document, "sentence", "tree", F.col("sentence").rlike(WORD_CHARACTER).alias("codable"))
+    rows = _matched(_token_rows(sentences, dictionary, [*identity, "sen_id"], head), dictionary)
+    rows = rows.where(
+        (F.col("start") == 0) | F.col("actor").isNotNull() | F.col("verb").isNotNull()
+    ).select(*identity, "sen_id", F.struct("start", "head", "actor", "verb").alias("_mark"))
     per_sentence = (
         rows.repartition(*identity)
         .groupBy(*identity, "sen_id")

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.functions import dates
+from newsflow.operators.joins import join_unique
 
-# Key lists up to this many rows are broadcast; longer ones are left to the
-# planner, which compares real sizes at run time.
+# Key lists up to this many rows are broadcast; longer ones are joined by shuffle.
 BROADCAST_KEYS = 100_000
 
 
@@ -30,11 +30,9 @@ def mark_processed(
 ) -> DataFrame:
     """Add ``skipped``: whether the key is among the last ``n`` stored (all when None)."""
     seen, small = _seen(stored, n, key, seq)
-    seen = seen.select(F.col(key).alias("_seen"))
-    seen = F.broadcast(seen) if small else seen
-    return incoming.join(seen, F.col(key) == F.col("_seen"), "left").withColumn(
-        "skipped", F.col("_seen").isNotNull()
-    ).drop("_seen")
+    seen = seen.withColumn("_seen", F.lit(True))
+    joined = incoming.join(F.broadcast(seen), key, "left") if small else join_unique(incoming, seen, key, "left")
+    return joined.withColumn("skipped", F.col("_seen").isNotNull()).drop("_seen")
 
 
 def skip_processed(
@@ -43,8 +41,9 @@ def skip_processed(
 ) -> DataFrame:
     """Drop incoming rows whose key is among the last ``n`` stored (all when None)."""
     seen, small = _seen(stored, n, key, seq)
-    seen = seen.select(key)
-    return incoming.join(F.broadcast(seen) if small else seen, key, "left_anti")
+    if small:
+        return incoming.join(F.broadcast(seen), key, "left_anti")
+    return join_unique(incoming, seen, key, "left_anti")
 
 
 def _seen(stored: DataFrame, n: int | None, key: str, seq: str) -> tuple[DataFrame, bool]:
@@ -66,11 +65,11 @@ def merge_annotations(
 
     Unmatched updates change nothing, unmatched stories keep what they had. The
     update side is unique per key after the reduction, so story rows are neither
-    multiplied nor lost, and a skewed story key can be split by adaptive execution.
+    multiplied nor lost, and a hot story key is spread over many tasks.
     """
     latest = latest_per_key(updates, value, key, seq).withColumnRenamed(value, "_new")
     old = F.col(value) if value in stories.columns else F.lit(None).cast("string")
-    return stories.join(latest, key, "left").withColumn(
+    return join_unique(stories, latest, key, "left").withColumn(
         value, F.coalesce(F.col("_new"), old)
     ).drop("_new")
 

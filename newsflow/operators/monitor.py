@@ -77,3 +77,8 @@ def progress(documents: DataFrame, batch: str = "batch_id") -> DataFrame:
         .withColumn("total_rows", total)
         .withColumn("remaining_rows", F.col("total_rows") - F.col("inserted_rows"))
     )
+
+
+def cumulative(stats: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """Batch statistics with the documents processed and the time taken so far."""
+    return running_totals(stats, batch, total_docs="io_operations", total_time="time_taken")

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from newsflow.operators import maintain, monitor
+from newsflow.operators import joins, maintain, monitor
 
 
 def keyed(spark, keys, start=1):
@@ -34,30 +34,34 @@ def test_keyed_merge(spark):
     assert merged == {"1": "old", "2": "x", "3": None}
 
 
-def test_a_hot_story_key_is_split_by_adaptive_execution(spark):
-    confs = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-    }
-    old = {k: spark.conf.get(k, None) for k in confs}
-    for k, v in confs.items():
-        spark.conf.set(k, v)
+def without_broadcast(spark, df_of):
+    confs = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for c in confs:
+        spark.conf.set(c, "-1")
     try:
-        stories = spark.range(0, 20000, 1, 16).select(
-            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("doc_key"),
-            F.sha2(F.col("id").cast("string"), 256).alias("article_body"))
-        updates = spark.range(20000).select(
-            F.when(F.col("id") == 0, "hot").otherwise(F.col("id").cast("string")).alias("doc_key"),
-            F.lit("new").alias("corenlp_output"), F.col("id").alias("ingest_seq"))
-        merged = maintain.merge_annotations(stories, updates)
-        assert len(merged.collect()) == 20000
-        assert merged.where("corenlp_output = 'new'").count() == 20000
+        return df_of()
     finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        for c in confs:
+            spark.conf.unset(c)
+
+
+def test_a_hot_key_is_spread_over_many_tasks(spark):
+    left = spark.range(0, 3000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("doc_key"), "id")
+    right = spark.createDataFrame([("hot", "h"), ("1", "one"), ("none", "x")], "doc_key string, v string")
+
+    def joined():
+        df = joins.join_unique(left, right, "doc_key", "left", hot_rows=100)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(doc_key" in plan and ", _salt" in plan
+        anti = joins.join_unique(left, right, "doc_key", "left_anti", hot_rows=100)
+        return df.columns, df.collect(), anti.columns, anti.count()
+
+    columns, rows, anti_columns, kept = without_broadcast(spark, joined)
+    assert columns == ["doc_key", "id", "v"] and anti_columns == ["doc_key", "id"]
+    assert len(rows) == 3000 and kept == 3000 - 1000 - 1
+    assert sum(r.v == "h" for r in rows) == 1000 and sum(r.v == "one" for r in rows) == 1
+    assert [r.doc_key for r in joins.hot_keys(left, "doc_key", 100).collect()] == ["hot"]
 
 
 def test_first_n_by_key(spark):
@@ -111,6 +115,12 @@ def test_batch_stats_count_skipped_bytes_only(spark):
     assert got == {1: (1, 11, 2, 1), 2: (1, 0, 0, 1)}
 
 
+def test_cumulative_documents_and_time(spark):
+    stats = spark.createDataFrame([(0, 2, 1.5), (1, 3, 0.5)], "batch_id bigint, io_operations bigint, time_taken double")
+    rows = monitor.cumulative(stats).orderBy("batch_id").collect()
+    assert [(r.total_docs, r.total_time) for r in rows] == [(2, 1.5), (5, 2.0)]
+
+
 def test_batch_averages_round_half_up(spark):
     stats = spark.createDataFrame([(1, 2), (2, 3)], "data_size int, batch_time int")
     assert tuple(monitor.batch_averages(stats).first()) == (2.0, 3.0)
