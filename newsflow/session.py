@@ -8,11 +8,23 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings that suit these jobs on any cluster; results do not depend on them.
+SETTINGS = {
+    # Reassembly has one group per sentence and per document. The hash form of
+    # the collecting aggregate gives up after 128 groups and sorts anyway; the
+    # sort form sorts once for both groupings and streams with bounded memory.
+    "spark.sql.execution.useObjectHashAggregateExec": "false",
+}
+
+
 def local_session(cpus: str | int = "*", memory: str = "16g", app: str = "newsflow") -> SparkSession:
     """A local session for tests and benchmarks; a cluster brings its own."""
     parallel = "8" if cpus == "*" else str(cpus)
+    builder = SparkSession.builder
+    for name, value in SETTINGS.items():
+        builder = builder.config(name, value)
     return (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", parallel)
