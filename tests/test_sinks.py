@@ -58,5 +58,5 @@ def test_story_and_phrase_stores(spark, tmp_path):
     assert stored.count() == 2 and stored.where("stanford = 0 AND date_added IS NOT NULL").count() == 2
     phrases = spark.createDataFrame([("d", "[]", "m")], "doc_id string, phrases string, mongo_id string")
     documents.insert_phrases(phrases, str(tmp_path / "p"))
-    line = open(glob.glob(str(tmp_path / "p" / "*.json"))[0]).read()
-    assert json.loads(line) == {"doc_id": "d", "phrases": "[]"}
+    lines = [r.value for r in spark.read.text(str(tmp_path / "p")).collect()]
+    assert [json.loads(line) for line in lines] == [{"doc_id": "d", "phrases": "[]"}]
