@@ -18,6 +18,7 @@ def local_session(cpus: str | int = "*", memory: str = "16g", app: str = "newsfl
         .config("spark.sql.shuffle.partitions", parallel)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
