@@ -29,7 +29,7 @@ def vocabulary() -> bpe.Vocabulary:
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    rules = spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, RULES))} AS rules(host, path, verdict)")
     return url_filters.judge(table(spark, sf_dir, "pages"), rules)
 
 
