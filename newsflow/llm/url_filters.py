@@ -92,7 +92,7 @@ def judge(
         .withColumn("_digest", F.when(fits, F.sha2(expression, 256)))
         .select(*keys, "_digest", F.substring("_digest", 1, SHORT).alias("_short"),
                 # One form of each row carries the count of its copies.
-                (F.lit(not forms) | (form == listed[0])).cast("bigint").alias("_copy"))
+                ((form == listed[0]).cast("bigint") if forms else F.lit(1)).alias("_copy"))
     )
     wanted = ready.select(
         F.substring("rule_digest", 1, SHORT).alias("_rule_short"), "rule_digest", "rule", "rule_verdict",
