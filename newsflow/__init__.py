@@ -1,3 +1,10 @@
 """News-corpus ingestion, annotation and event coding as Spark DataFrame jobs."""
 
-__version__ = "0.1.0"
+import sys
+
+from pyspark import cloudpickle
+
+__version__ = "0.2.0"
+
+# Functions that run in Python workers travel with the job, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

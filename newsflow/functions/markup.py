@@ -16,7 +16,9 @@ from newsflow.functions.text import strip
 
 COMMENT = r"(?s)<!--.*?-->"
 TAG = r"<[/!?a-zA-Z][^>]*>"
-REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+REFERENCE = r"^(#0*[0-9]{1,7}|#[xX]0*[0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+# Numbers 128 to 159 are read as this single-byte encoding, as browsers do.
+WINDOWS = "cp1252"
 
 
 def _named_references() -> Column:
@@ -38,9 +40,11 @@ def decode_references(c: Column) -> Column:
 
     def numbered(p: Column) -> Column:
         # The pattern bounds the digits, so neither conversion can overflow.
+        digits = F.regexp_extract(p["ref"], "^#[xX]?0*(.*)$", 1)
         number = F.when(
-            p["ref"].rlike("^#[xX]"), F.conv(F.substring(p["ref"], 3, 6), 16, 10).try_cast("int")
-        ).when(p["ref"].startswith("#"), F.substring(p["ref"], 2, 7).try_cast("int"))
+            p["ref"].rlike("^#[xX]"), F.conv(digits, 16, 10).try_cast("int")
+        ).when(p["ref"].startswith("#"), digits.try_cast("int"))
+        number = F.coalesce(F.try_element_at(windows, number), number)
         return F.struct(p["piece"].alias("piece"), p["ref"].alias("ref"), number.alias("number"))
 
     def decoded(p: Column) -> Column:
@@ -53,6 +57,10 @@ def decode_references(c: Column) -> Column:
         return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), p["piece"]))
 
     names = _named_references()
+    windows = F.create_map(*[
+        F.lit(ord(c) if i % 2 else b) for b in range(0x80, 0xA0)
+        for i, c in enumerate((None, bytes([b]).decode(WINDOWS, "replace"))) if bytes([b]).decode(WINDOWS, "replace") != "\uFFFD"
+    ])
     pieces = F.split(c, "&")
     tail = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces), F.lit(0)))
     for step in (split_off, numbered, decoded):

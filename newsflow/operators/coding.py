@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow import schemas
-from newsflow.functions import text
+from newsflow.functions import dates, text
 
 Coder = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
@@ -92,31 +92,30 @@ def load_dictionary(
 
 
 def _token_rows(
-    sentences: DataFrame, dictionary: Dictionary, keep: list[str], head: Column | None = None
+    sentences: DataFrame, dictionary: Dictionary, keep: list[str], header: list[str] | None = None
 ) -> DataFrame:
     """One row per token start, ready for look-up.
 
-    With ``head`` an extra row at position 0 stands for the sentence and is the
-    only one to carry that value. For a shuffled look-up the phrases are spelled
-    out here, so that no row takes the whole sentence through a shuffle.
+    With ``header`` an extra row at position 0 stands for the sentence and is the
+    only one to carry those columns, as ``_head_<name>``. For a shuffled look-up the
+    phrases are spelled out here, so that only header rows hold whole sentences.
     """
     words = F.col("_words")
     found = F.coalesce(text.tokens(F.lower("sentence")), F.array().cast("array<string>"))
-    starts = words if head is None else F.concat(F.array(F.lit(None).cast("string")), words)
+    starts = words if header is None else F.concat(F.array(F.lit(None).cast("string")), words)
     # The outer form keeps the planner from computing the array twice, once for
     # an inferred emptiness filter; the look-up drops the rows of empty arrays.
     rows = sentences.withColumn("_words", found).select(
         "*", F.posexplode_outer(starts).alias("start", "_gram1")
     )
-    if head is None:
+    if header is None:
         rows = rows.withColumn("start", F.col("start") + 1)
     carried = [*keep, "start", "_gram1"]
-    if head is not None:
-        carried.append(F.when(F.col("start") == 0, head).alias("head"))
+    carried += [F.when(F.col("start") == 0, F.col(c)).alias(f"_head_{c}") for c in header or ()]
     if dictionary.small:
         return rows.select(*carried, "_words")
     # The input partition is part of the salt: copies of a text do not share it.
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), "sen_id", "start"), F.lit(SALTS)).cast("int")
+    salt = F.xxhash64(F.spark_partition_id(), *keep, "start")
     return rows.select(
         *carried, salt.alias("_salt"),
         *[_spelled(n).alias(f"_gram{n}") for n in dictionary.lengths if n > 1],
@@ -135,8 +134,10 @@ def _look_up(rows: DataFrame, entries: DataFrame, gram: str, small: bool) -> Dat
     if small:
         return rows.join(F.broadcast(entries), gram, "left")
     # A frequent word would fill one task: every salt has its own copy of the entry.
-    copies = entries.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.join(copies, [gram, "_salt"], "left")
+    # Rows without a phrase match nothing; their unbounded salt spreads them over all tasks.
+    copies = entries.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    salt = F.when(F.col(gram).isNotNull(), F.pmod("_salt", F.lit(SALTS))).otherwise(F.col("_salt"))
+    return rows.withColumn("_copy", salt).join(copies, [gram, "_copy"], "left").drop("_copy")
 
 
 def _matched(rows: DataFrame, dictionary: Dictionary) -> DataFrame:
@@ -185,9 +186,15 @@ def dictionary_hits(
     )
 
 
-def code_documents(annotated: DataFrame, dictionary: Dictionary) -> DataFrame:
+def code_documents(
+    annotated: DataFrame, dictionary: Dictionary, texts: tuple[str, ...] = ("sentence", "tree"),
+) -> DataFrame:
     """Annotated documents to one coded row per document (``schemas.CODED``).
 
+    ``texts`` names the text fields the result is needed with; the others are NULL
+    and never enter the exchange. A sentence is known by its position, so repeated
+    and missing ``sen_id`` values change nothing.
+
     Every sentence row travels once through one exchange, as the header row of
     its matches, so documents are neither read twice nor joined back. The exchange
     key holds the content hash and the input partition besides the document key:
@@ -202,31 +209,34 @@ def code_documents(annotated: DataFrame, dictionary: Dictionary) -> DataFrame:
         "_hash_b": F.xxhash64(F.lit(1), *content),
         "_part": F.spark_partition_id(),
     })
-    sentences = docs.select(*identity, *document, F.inline_outer("sentences"))
-    # Only the header row carries text; a match is a position, a length and a code.
-    head = F.struct(*document, "sentence", "tree", F.col("sentence").rlike(WORD_CHARACTER).alias("codable"))
-    rows = _matched(_token_rows(sentences, dictionary, [*identity, "sen_id"], head), dictionary)
-    rows = rows.where(
-        (F.col("start") == 0) | F.col("actor").isNotNull() | F.col("verb").isNotNull()
-    ).select(*identity, "sen_id", F.struct("start", "head", "actor", "verb").alias("_mark"))
+    sentences = docs.select(*identity, *document, F.posexplode_outer("sentences").alias("_pos", "_s"))
+    sentences = sentences.select(*identity, *document, "_pos", "_s.*").withColumn(
+        "_codable", F.col("sentence").rlike(WORD_CHARACTER))
+    # Only the header row carries these; a match is a position, a length and a code.
+    header = [*document, "sen_id", *texts, "_codable"]
+    rows = _matched(_token_rows(sentences, dictionary, [*identity, "_pos"], header), dictionary)
+    rows = rows.where((F.col("start") == 0) | F.col("actor").isNotNull() | F.col("verb").isNotNull())
+    mark = F.when(F.col("start") > 0, F.struct("start", "actor", "verb"))
     per_sentence = (
         rows.repartition(*identity)
-        .groupBy(*identity, "sen_id")
+        .groupBy(*identity, "_pos")
         .agg(
             # A set, so the marks of copies merge; it holds one sentence at most.
-            F.sort_array(F.collect_set("_mark")).alias("_marks"),
-            F.count_if(F.col("_mark.start") == 0).alias("_copies"),
+            F.sort_array(F.collect_set(mark)).alias("_marks"),
+            F.count_if(F.col("start") == 0).alias("_copies"),
+            *[F.first(f"_head_{c}", ignorenulls=True).alias(c) for c in header],
         )
-        .withColumn("_head", F.col("_marks")[0]["head"])
     )
-    coded = F.when(F.col("sen_id").isNotNull(), _coded_sentence(F.col("_marks"), F.col("sen_id")))
+    for c in {"sentence", "tree"} - set(texts):
+        per_sentence = per_sentence.withColumn(c, F.lit(None).cast("string"))
+    coded = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.col("_coded").alias("s")))
     per_document = (
-        per_sentence.withColumn("_coded", coded)
+        _coded_sentences(per_sentence)
         .groupBy(*identity)
         .agg(
-            F.sort_array(F.collect_list("_coded")).alias("coded"),
+            F.transform(F.sort_array(F.collect_list(coded)), lambda c: c["s"]).alias("coded"),
             F.max("_copies").alias("_copies"),
-            *[F.first(f"_head.{c}").alias(c) for c in document],
+            *[F.first(c, ignorenulls=True).alias(c) for c in document],
         )
     )
     return (
@@ -236,42 +246,45 @@ def code_documents(annotated: DataFrame, dictionary: Dictionary) -> DataFrame:
     )
 
 
-def _coded_sentence(marks: Column, sen_id: Column) -> Column:
-    """Phrases, codes and events of one sentence from its sorted marks.
+def _coded_sentences(rows: DataFrame) -> DataFrame:
+    """Add ``_coded``: phrases, codes and events of each sentence from its sorted marks.
 
     Events need two actors: the first actor of the sentence acts on the last one
-    through every verb that starts between them.
+    through every verb that starts between them. Each list is made once, in a
+    projection of its own.
     """
-    head = F.get(marks, F.lit(0))["head"]
-    actors = F.filter(marks, lambda m: m["actor"].isNotNull())
-    verbs = F.filter(marks, lambda m: m["verb"].isNotNull())
-    first, last = F.get(actors, F.lit(0)), F.try_element_at(actors, F.lit(-1))
+    first, last = F.get("_actors", F.lit(0)), F.try_element_at(F.col("_actors"), F.lit(-1))
     between = F.filter(
-        verbs, lambda v: (v["start"] > first["start"]) & (v["start"] < last["start"])
+        "_verbs", lambda v: (v["start"] > first["start"]) & (v["start"] < last["start"])
     )
     events = F.transform(
         between, lambda v: F.array(first["actor"]["code"], last["actor"]["code"], v["verb"]["code"])
     )
-    verb = F.get(verbs, F.lit(0))["verb"]
-    return F.struct(
-        sen_id.alias("sen_id"),
-        head["sentence"].alias("sentence"),
-        head["tree"].alias("tree"),
-        F.transform(actors, lambda a: a["actor"]["phrase"]).alias("nouns"),
-        F.transform(actors, lambda a: a["actor"]["code"]).alias("noun_coding"),
+    verb = F.get("_verbs", F.lit(0))["verb"]
+    return rows.withColumns({
+        "_actors": F.filter("_marks", lambda m: m["actor"].isNotNull()),
+        "_verbs": F.filter("_marks", lambda m: m["verb"].isNotNull()),
+    }).withColumn("_events", events).withColumn("_coded", F.struct(
+        "sen_id", "sentence", "tree",
+        F.transform("_actors", lambda a: a["actor"]["phrase"]).alias("nouns"),
+        F.transform("_actors", lambda a: a["actor"]["code"]).alias("noun_coding"),
         F.coalesce(verb["phrase"], F.lit("")).alias("verbs"),
         F.coalesce(verb["code"], F.lit("")).alias("verb_coding"),
-        F.when(F.size(events) > 0, events).alias("events"),
-        F.when(~head["codable"], F.lit(NO_WORDS)).alias("error"),
-    )
+        F.when(F.size("_events") > 0, F.col("_events")).alias("events"),
+        F.when(~F.col("_codable"), F.lit(NO_WORDS)).alias("error"),
+    ))
 
 
 def code_with(annotated: DataFrame, coder: Coder) -> DataFrame:
     """Run a user's coder; it maps batches of annotated documents to coded ones.
 
-    Documents stay whole rows, so the order of sentences is kept without a shuffle.
+    The coder gets the date as year + month + day: a date of eight digits as it is, a
+    printed one normalised, ``-1`` where it cannot be read. Documents stay whole
+    rows, so the order of sentences is kept without a shuffle.
     """
-    columns = annotated.select("doc_key", "doc_id", "date", "sentences")
+    dated = dates.robust_date(annotated, "date", "_normalised", max_year=None)
+    date = F.when(F.col("date").rlike("^[0-9]{8}$"), F.col("date")).otherwise(F.col("_normalised"))
+    columns = dated.select("doc_key", "doc_id", date.alias("date"), "sentences")
     return columns.mapInPandas(coder, schemas.CODED)
 
 
@@ -375,7 +388,8 @@ def events_by_doc(coded: DataFrame) -> DataFrame:
     """``doc_id, output, mongo_id, sents_count`` in the stored, doubly encoded form.
 
     ``output`` is ``{"main_output": text}`` where text is a JSON array of JSON
-    texts, one per coded sentence. Sentences with an error are left out.
+    texts, one per coded sentence with the date of its document as ``meta``.
+    Sentences with an error are left out.
     """
     good = F.filter("coded", lambda s: s["error"].isNull())
     results = F.transform(good, lambda s: F.to_json(F.create_map(
@@ -383,7 +397,7 @@ def events_by_doc(coded: DataFrame) -> DataFrame:
         F.struct(F.create_map(
             s["sen_id"].cast("string"),
             F.struct(s["sentence"].alias("content"), s["tree"].alias("parsed"), s["events"].alias("events")),
-        ).alias("sents")),
+        ).alias("sents"), F.struct("date").alias("meta")),
     )))
     return coded.select(
         "doc_id",

@@ -16,6 +16,9 @@ STORY_COLUMNS = (
     "stanford", "language", "doc_id", "word_count", "dateline", "type",
 )
 
+# Everything outside the characters of XML 1.0.
+NOT_XML = r"[^\x09\x0A\x0D\x20-\x{D7FF}\x{E000}-\x{FFFD}\x{10000}-\x{10FFFF}]"
+
 
 def decode_ids(df: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """Add language, source, date and ``reject_reason`` read from the document id."""
@@ -39,14 +42,17 @@ def quarantined(df: DataFrame) -> DataFrame:
 def parse_articles(df: DataFrame, doc: str = "doc") -> DataFrame:
     """One row per markup document with every article field and ``reject_reason``.
 
-    One narrow projection: the markup is scanned once and never shuffled.
+    Narrow: the markup is scanned once and never shuffled. The parsed fields pass
+    a generator, so a filter on them cannot repeat the parsing below it.
     """
     fields = markup.read_fields(
         df, doc,
         elements={"article_title": "headline", "dateline": "dateline", "article_body": "text"},
         attributes={"doc_id": ("doc", "id"), "doc_type": ("doc", "type")},
     )
-    fields = fields.withColumns({
+    parsed = ("article_title", "dateline", "article_body", "doc_id", "doc_type")
+    others = [c for c in fields.columns if c not in parsed]
+    fields = fields.select(*others, F.inline(F.array(F.struct(*parsed)))).withColumns({
         "type": F.col("doc_type"),
         "word_count": text.word_count(F.col("article_body")),
     })
@@ -77,14 +83,20 @@ def extract_pages(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def xml_image(stories: DataFrame, language: str = "ARB", key: str = "doc_key") -> DataFrame:
-    """Rows of the XML export: attributes carry an underscore, the text does not."""
+    """Rows of the XML export: attributes carry an underscore, the text does not.
+
+    A character that XML 1.0 cannot hold becomes U+FFFD.
+    """
+    def held(c: Column) -> Column:
+        return F.regexp_replace(c, NOT_XML, "\uFFFD")
+
     return stories.where(F.col("language") == language).select(
         identifiers.format_yyyymmdd(F.col("publication_date")).alias("_date"),
-        F.col("doc_id").alias("_id"),
-        F.col(key).alias("_mongoId"),
-        F.col("news_source").alias("_source"),
+        held(F.col("doc_id")).alias("_id"),
+        held(F.col(key)).alias("_mongoId"),
+        held(F.col("news_source")).alias("_source"),
         F.lit("true").alias("_sentence"),
-        F.col("article_body").alias("Text"),
+        held(F.col("article_body")).alias("Text"),
     )
 
 

@@ -10,6 +10,8 @@ from newsflow.operators.joins import join_unique
 
 # Key lists up to this many rows are broadcast; longer ones are joined by shuffle.
 BROADCAST_KEYS = 100_000
+# The histogram of a rank has about 2 to this power buckets.
+BUCKET_BITS = 16
 
 
 def recent_ids(stored: DataFrame, n: int, key: str = "doc_key", seq: str = "ingest_seq") -> DataFrame:
@@ -74,7 +76,7 @@ def merge_annotations(
     ).drop("_new")
 
 
-def write_back_date(stories: DataFrame, raw: str = "publication_date_raw", max_year: int | None = 2016) -> DataFrame:
+def write_back_date(stories: DataFrame, raw: str = "publication_date_raw", max_year: int | None = None) -> DataFrame:
     """Add ``date_int``: a keyed update of each row by itself is a derived column, not a join."""
     dated = dates.robust_date(stories, raw, "_date", max_year)
     return dated.withColumn("date_int", dates.date_int(F.col("_date"))).drop("_date")
@@ -95,9 +97,10 @@ def first_n(df: DataFrame, n: int, key: str = "doc_key") -> DataFrame:
     The keys are chosen first on a one-column scan, so only the chosen rows ever
     carry their bodies into the single sorted partition.
     """
-    chosen = df.select(key).orderBy(key).limit(n).distinct()
+    chosen = df.select(F.col(key).alias("_chosen")).orderBy("_chosen").limit(n).distinct()
     chosen = F.broadcast(chosen) if n <= BROADCAST_KEYS else chosen
-    return df.join(chosen, key, "left_semi").orderBy(key).limit(n)
+    # NULL keys sort first and count, so they must be found again too.
+    return df.join(chosen, F.col(key).eqNullSafe(F.col("_chosen")), "left_semi").orderBy(key).limit(n)
 
 
 def shuffle_rank(key: str = "doc_key", seed: int = 42) -> Column:
@@ -106,18 +109,21 @@ def shuffle_rank(key: str = "doc_key", seed: int = 42) -> Column:
 
 
 def capped_shuffle(
-    df: DataFrame, n: int, rank: Column | None = None, key: str = "doc_key", bucket_bits: int = 48,
+    df: DataFrame, n: int, rank: Column | None = None, key: str = "doc_key",
 ) -> DataFrame:
     """The first ``n`` rows of a random permutation, exactly.
 
     Sorting whole rows for a large cap would send ``n`` of them from every task
-    to one. A histogram of the rank (its bits above ``bucket_bits``, at most
-    65,536 buckets for a 64-bit rank) tells which buckets the first ``n`` rows
-    can lie in; only those rows are sorted.
+    to one. A histogram of the rank (its highest bits, about 65,536 buckets over
+    the range that occurs) tells which buckets the first ``n`` rows can lie in; only
+    those rows are sorted. Rows without a rank come first.
     """
     rank = shuffle_rank(key) if rank is None else rank
-    ranked = df.withColumn("_rank", rank)
-    bucket = F.shiftright(F.col("_rank"), bucket_bits)
+    ranked = df.withColumn("_rank", rank.cast("bigint"))
+    low, high = ranked.agg(F.min("_rank"), F.max("_rank")).first()
+    bits = max(0, (high - low).bit_length() - BUCKET_BITS) if low is not None else 0
+    before_all = (low >> bits) - 1 if low is not None else 0
+    bucket = F.coalesce(F.shiftright(F.col("_rank"), bits), F.lit(before_all))
     counts = ranked.groupBy(bucket.alias("_bucket")).agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(_ordered("_bucket")) - F.col("_n")
     last = (

@@ -37,14 +37,16 @@ def batch_averages(stats: DataFrame, size: str = "data_size", time: str = "batch
 def running_totals(df: DataFrame, order: str, buckets: int = 1024, **totals: str) -> DataFrame:
     """Running sums along an integer column, without a one-task window.
 
-    ``totals`` maps a new column to the column it accumulates. The value range
-    is cut into at most ``buckets`` slices; each slice is a window partition of
-    its own, and what precedes a slice comes from one row per slice.
+    ``totals`` maps a new column to the column it accumulates. The rows are cut
+    into at most ``buckets`` slices of about equal size at quantiles of the values;
+    each slice is a window partition of its own, and what precedes a slice comes
+    from one row per slice.
     """
-    low, high = df.agg(F.min(order)).scalar(), df.agg(F.max(order)).scalar()
-    width = F.greatest(F.ceil((high - low + 1) / F.lit(buckets)), F.lit(1))
+    shares = [i / buckets for i in range(1, buckets)] or [0.5]
+    cuts = sorted(set(df.agg(F.percentile_approx(order, shares, F.lit(10 * buckets))).first()[0] or []))
     # Rows without a value sort first, so they form the slice before all others.
-    slice_no = F.coalesce(F.floor((F.col(order) - low) / width), F.lit(-1))
+    before = F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<bigint>"), lambda c: c < F.col(order)))
+    slice_no = F.when(F.col(order).isNull(), F.lit(-1)).otherwise(before)
     sliced = df.withColumn("_slice", slice_no)
     per_slice = sliced.groupBy("_slice").agg(
         *[F.sum(source).alias(f"_sum_{name}") for name, source in totals.items()]

@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsflow import schemas
 from newsflow.functions import dates, markup, messages, text
 from newsflow.operators import annotate, coding, extract, maintain, monitor
+from newsflow.operators.joins import join_unique
 from newsflow.session import shared_folder
 from newsflow.sinks import documents, xml
 from newsflow.sources.corpus import read_corpus
-from newsflow.sources.messages import read_messages
+from newsflow.sources.messages import read_messages, stream_messages
 from newsflow.sources.tables import spread, spread_stories, stories, stories_of, table
 from newsflow.streaming import annotate as streaming
 
@@ -20,6 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters of the queries, shared with their SQL twins.
 RECENT = 200
+LAST_YEAR = 2016
 FIRST = 500
 CAP = 500
 EXPORT_LANGUAGE = "ENG"
@@ -37,12 +40,15 @@ VERBS = {
 # --- shared inputs -------------------------------------------------------------
 
 
-def _dictionary(spark: SparkSession) -> coding.Dictionary:
-    actors, verbs = (
+def _phrase_tables(spark: SparkSession) -> list[DataFrame]:
+    return [
         spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, d.items()))} AS t(phrase, code)")
         for d in (ACTORS, VERBS)
-    )
-    return coding.load_dictionary(actors, verbs)
+    ]
+
+
+def _dictionary(spark: SparkSession) -> coding.Dictionary:
+    return coding.load_dictionary(*_phrase_tables(spark))
 
 
 def _annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,8 +59,8 @@ def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annotate.split_sentences(spread_stories(spark, sf_dir), "doc_key")
 
 
-def _coded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return coding.code_documents(_annotated(spark, sf_dir), _dictionary(spark))
+def _coded(spark: SparkSession, sf_dir: str, texts: tuple[str, ...] = ("sentence", "tree")) -> DataFrame:
+    return coding.code_documents(_annotated(spark, sf_dir), _dictionary(spark), texts)
 
 
 def _printed(df: DataFrame) -> DataFrame:
@@ -230,11 +236,11 @@ def date_robust_fixed(spark, sf_dir):
 
 
 def date_int_writeback(spark, sf_dir):
-    return maintain.write_back_date(printed_dates(spark, sf_dir))
+    return maintain.write_back_date(printed_dates(spark, sf_dir), max_year=LAST_YEAR)
 
 
 def date_range(spark, sf_dir):
-    return maintain.date_range(maintain.write_back_date(printed_dates(spark, sf_dir)))
+    return maintain.date_range(maintain.write_back_date(printed_dates(spark, sf_dir), max_year=LAST_YEAR))
 
 
 # --- messages ------------------------------------------------------------------
@@ -299,22 +305,22 @@ def code_verbs(spark, sf_dir):
 
 
 def phrases_by_doc(spark, sf_dir):
-    return coding.phrases_by_doc(_coded(spark, sf_dir))
+    return coding.phrases_by_doc(_coded(spark, sf_dir, ("sentence",)))
 
 
 def phrases_by_sentence(spark, sf_dir):
-    rows = coding.explode_phrases(coding.phrases_by_sentence(_coded(spark, sf_dir)))
+    rows = coding.explode_phrases(coding.phrases_by_sentence(_coded(spark, sf_dir, ("sentence",))))
     return rows.withColumns({
         c: F.array_join(c, "|") for c in ("nouns", "noun_coding")
     })
 
 
 def sentence_outcomes(spark, sf_dir):
-    return coding.sentence_outcomes(_coded(spark, sf_dir))
+    return coding.sentence_outcomes(_coded(spark, sf_dir, ()))
 
 
 def first_event(spark, sf_dir):
-    return coding.first_event(_coded(spark, sf_dir))
+    return coding.first_event(_coded(spark, sf_dir, ()))
 
 
 def flatten_events(spark, sf_dir):
@@ -323,9 +329,80 @@ def flatten_events(spark, sf_dir):
     return flat.withColumn("events", joined)
 
 
+def code_actors_large(spark, sf_dir):
+    """``code_actors`` by the look-up for dictionaries too large to broadcast."""
+    large = coding.load_dictionary(*_phrase_tables(spark), max_rows=0)
+    return coding.dictionary_hits(_sentences(spark, sf_dir), large, "actor", "doc_key", "sen_id")
+
+
+def annotate_hook(spark, sf_dir):
+    """A user's annotator over batches: every line is a sentence."""
+    def lines(batches):
+        for batch in batches:
+            sentences = [
+                [{"sen_id": i + 1, "sentence": line, "tree": None} for i, line in enumerate(body.split("\n"))]
+                for body in batch["article_body"]
+            ]
+            yield batch[["doc_key", "doc_id", "date"]].assign(sentences=sentences)
+
+    annotated = annotate.annotate(spread_stories(spark, sf_dir), lines)
+    return annotate.explode_sentences(annotated).select("doc_key", "sen_id", "sentence")
+
+
+def code_hook(spark, sf_dir):
+    """A user's coder that fails on every sentence of an odd length; its document goes on.
+
+    The documents carry printed dates; the coder is given the normalised one.
+    """
+    def code(sentence, tree, date):
+        if len(sentence) % 2:
+            raise ValueError("odd length")
+        return {"verbs": date, "verb_coding": str(len(sentence))}
+
+    documents = _annotated(spark, sf_dir).withColumn(
+        "date", F.date_format(F.to_date("date", "yyyyMMdd"), "MMMM d, yyyy"))
+    coded = coding.code_with(documents, coding.per_sentence_coder(code))
+    s = F.col("s")
+    return coded.select("doc_key", F.explode("coded").alias("s")).select(
+        "doc_key", s["sen_id"].alias("sen_id"), s["verbs"].alias("date"), s["verb_coding"].alias("code"), s["error"].alias("error"))
+
+
+def stored_events_meta(spark, sf_dir):
+    """The stored coder results: how many each document has, and the date in their ``meta``."""
+    stored = coding.events_by_doc(_coded(spark, sf_dir))
+    results = F.from_json(F.from_json("output", schemas.MAIN_OUTPUT)["main_output"], schemas.STRINGS)
+    dates_of = F.array_distinct(F.transform(results, lambda r: F.regexp_extract(r, r'"meta":\{"date":"([^"]*)"\}', 1)))
+    return stored.select("mongo_id", F.size(results).alias("results"), F.array_join(dates_of, ",").alias("dates"))
+
+
+def noun_pairs(spark, sf_dir):
+    """Actors as (phrase, code) pairs, turned into two arrays."""
+    pairs = code_actors(spark, sf_dir).groupBy("doc_key", "sen_id").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("start", F.array("phrase", "code").alias("pair")))),
+                    lambda x: x["pair"]).alias("pairs"))
+    nouns, codes = coding.noun_arrays(F.col("pairs"))
+    return pairs.select("doc_key", "sen_id", F.array_join(nouns, "|").alias("nouns"), F.array_join(codes, "|").alias("noun_coding"))
+
+
 # --- maintenance ---------------------------------------------------------------
 
 
+def newest_first(spark, sf_dir):
+    """The store, newest first; the rank of each row is its place in that order."""
+    return maintain.newest_first(_stored(spark, sf_dir))
+
+
+def merge_hot(spark, sf_dir):
+    """A third of the stories under one key and some under none; old values are kept where no update matches."""
+    n = F.col("ingest_seq")
+    s = stories(spark, sf_dir).select(
+        F.when(n % 3 == 0, F.lit("1")).when(n % 7 != 0, F.col("doc_key")).alias("doc_key"), "ingest_seq",
+        F.when(n % 2 == 0, F.lit("old")).alias("corenlp_output"))
+    latest = maintain.latest_per_key(_stored(spark, sf_dir), "corenlp_output").withColumnRenamed("corenlp_output", "_new")
+    joined = join_unique(s, latest, "doc_key", "left", hot_rows=50)
+    return joined.withColumn("corenlp_output", F.coalesce("_new", "corenlp_output")).drop("_new")
+
+
 def recent_ids(spark, sf_dir):
     return maintain.recent_ids(_stored(spark, sf_dir), RECENT)
 
@@ -348,7 +425,7 @@ def merge_annotations(spark, sf_dir):
 def shuffled_cap(spark, sf_dir):
     s = stories(spark, sf_dir).select("ingest_seq", "doc_id", "article_body")
     rank = F.pmod(F.col("ingest_seq") * 7919, F.lit(10007))
-    return maintain.capped_shuffle(s, CAP, rank, "ingest_seq", bucket_bits=0)
+    return maintain.capped_shuffle(s, CAP, rank, "ingest_seq")
 
 
 # --- monitoring ----------------------------------------------------------------
@@ -387,6 +464,56 @@ def corpus_files(spark, sf_dir):
     return _printed(extract.extract_articles(read_corpus(spark, folder)))
 
 
+def corpus_spellings(spark, sf_dir):
+    """As ``corpus_files``, with end tags spelt in three ways."""
+    folder = shared_folder(spark, "spellings")
+    n = F.crc32("doc_key") % 3
+    tag = F.when(n == 0, F.lit("</DOC>")).when(n == 1, F.lit("</doc>")).otherwise(F.lit("</Doc >"))
+    corpus_markup(spark, sf_dir).select(F.replace("doc", F.lit("</DOC>"), tag)).write.text(folder)
+    return _printed(extract.extract_articles(read_corpus(spark, folder)))
+
+
+def message_dialects(spark, sf_dir):
+    """Messages with the date and the optional fields in the forms producers use."""
+    s = spread_stories(spark, sf_dir)
+    n = F.col("ingest_seq") % 5
+    millis = (F.unix_date("publication_date").cast("bigint") * messages.DAY_MILLIS).cast("string")
+    wrapped = lambda inner: F.concat(F.lit('{"$date":'), inner, F.lit("}"))
+    iso = F.concat(F.lit('"'), F.date_format("publication_date", "yyyy-MM-dd"), F.lit('T00:00:00Z"'))
+    form = (
+        F.when(n == 0, wrapped(millis)).when(n == 1, wrapped(F.concat(F.lit('{"$numberLong":"'), millis, F.lit('"}'))))
+        .when(n == 2, wrapped(iso)).when(n == 3, iso).otherwise(F.concat(F.lit('"'), F.col("date"), F.lit('"'))))
+    head = F.to_json(F.struct("doc_id", "article_body"))
+    value = F.concat(
+        F.expr("substring(h, 1, length(h) - 1)"), F.lit(',"word_count":12.0,"stanford":"1","publication_date":'), F.col("form"),
+        # Every eleventh message is cut off.
+        F.when(F.col("ingest_seq") % 11 == 0, F.lit("")).otherwise(F.lit("}")))
+    made = s.select("ingest_seq", head.alias("h"), form.alias("form")).select("ingest_seq", value.alias("value"))
+    return messages.decode(made).select("ingest_seq", "doc_key", "date", "error")
+
+
+def phrases_inserted(spark, sf_dir):
+    """Phrase documents appended as JSON and read back."""
+    folder = shared_folder(spark, "phrases")
+    documents.insert_phrases(phrases_by_doc(spark, sf_dir), folder)
+    return spark.read.schema("doc_id string, phrases string").json(folder)
+
+
+def stories_inserted(spark, sf_dir):
+    """Stories appended with their load time, read back without it."""
+    folder = shared_folder(spark, "stories")
+    documents.insert_stories(extract.extract_articles(corpus_markup(spark, sf_dir)), folder)
+    stored = spark.read.parquet(folder)
+    return _printed(stored.where(F.col("date_added").isNotNull()).drop("date_added"))
+
+
+def rows_published(spark, sf_dir):
+    """Stored rows published as JSON arrays and read back."""
+    folder = shared_folder(spark, "rows")
+    documents.publish_rows(annotate.to_stored(_annotated(spark, sf_dir)), folder)
+    return read_messages(spark, folder).select("value")
+
+
 def message_files(spark, sf_dir):
     """Publish the stories as messages, then read and decode them."""
     folder = shared_folder(spark, "messages")
@@ -420,6 +547,26 @@ def _run_stream(spark, sf_dir):
     return f"{folder}/out"
 
 
+def _run_twice(spark, sf_dir, second_checkpoint: str):
+    """The messages in several files, one per trigger; half of them, then a restart with all, sent again."""
+    folder = shared_folder(spark, "restart")
+    s = stories(spark, sf_dir).select("ingest_seq", "doc_key", "doc_id", "publication_date", "article_body")
+    value = messages.story_message(s.drop("ingest_seq"), key="doc_key").alias("value")
+    first, all_of_them = s.where("ingest_seq % 2 = 0"), s
+    for part, checkpoint in ((first, "first"), (all_of_them, second_checkpoint)):
+        part.select(value).repartition(3).write.mode("append").text(f"{folder}/queue")
+        incoming = stream_messages(spark, f"{folder}/queue", files_per_trigger=1)
+        streaming.stream_annotate(
+            incoming, f"{folder}/out", f"{folder}/checkpoint-{checkpoint}", look_back=None, every=None,
+        ).awaitTermination()
+    return annotate.to_stored(streaming.read_annotated(spark, f"{folder}/out"))
+
+
+def stream_restart(spark, sf_dir):
+    """Stopped, restarted from its checkpoint, half of the messages delivered twice: each document once."""
+    return _run_twice(spark, sf_dir, "first")
+
+
 def stream_annotate(spark, sf_dir):
     """The documents as a message stream, annotated by the streaming job."""
     stored = streaming.read_annotated(spark, _run_stream(spark, sf_dir))
@@ -443,9 +590,10 @@ QUERIES: dict[str, Query] = {
         publish_json, publish_row_array, decode_message, quarantine_messages,
         split_sentences, split_turns, tokens, annotated_documents, explode_sentences,
         code_actors, code_verbs, phrases_by_doc, phrases_by_sentence, sentence_outcomes,
-        first_event, flatten_events,
-        recent_ids, skip_processed, skip_all_processed, merge_annotations, shuffled_cap,
+        first_event, flatten_events, code_actors_large, annotate_hook, code_hook, stored_events_meta, noun_pairs,
+        recent_ids, newest_first, skip_processed, skip_all_processed, merge_annotations, merge_hot, shuffled_cap,
         batch_stats, batch_averages, progress,
-        corpus_files, message_files, xml_files, coded_files, stream_annotate, stream_stats,
+        corpus_files, corpus_spellings, message_files, message_dialects, phrases_inserted, stories_inserted, rows_published,
+        xml_files, coded_files, stream_annotate, stream_stats, stream_restart,
     )
 }

@@ -381,3 +381,40 @@ ORACLE["stream_stats"] = _with(_STORIES) + f"""
 SELECT count(*) AS batch_size, CAST(sum(strlen(article_body)) AS BIGINT) AS docs_size,
        CAST(sum(len({_split('article_body')})) AS BIGINT) AS sentences, count(*) AS io_operations
 FROM stories"""
+ORACLE["corpus_spellings"] = ORACLE["extract_articles"]
+ORACLE["code_actors_large"] = ORACLE["code_actors"]
+ORACLE["stories_inserted"] = ORACLE["story_record"]
+ORACLE["rows_published"] = ORACLE["publish_row_array"]
+ORACLE["stream_restart"] = ORACLE["annotated_documents"]
+ORACLE["phrases_inserted"] = f"SELECT doc_id, phrases FROM ({ORACLE['phrases_by_doc']})"
+ORACLE["message_dialects"] = _with(_STORIES) + """
+SELECT ingest_seq, CASE WHEN ingest_seq % 11 <> 0 THEN doc_id END AS doc_key,
+       CASE WHEN ingest_seq % 11 <> 0 THEN date END AS date,
+       CASE WHEN ingest_seq % 11 = 0 THEN 'malformed message' END AS error
+FROM stories"""
+ORACLE["annotate_hook"] = _with(_STORIES) + """
+, lines AS (SELECT doc_key, string_split(article_body, chr(10)) AS l FROM stories)
+SELECT doc_key, CAST(generate_subscripts(l, 1) AS INTEGER) AS sen_id, unnest(l) AS sentence FROM lines"""
+ORACLE["code_hook"] = _with(*_SENT) + """
+SELECT doc_key, sen_id, CASE WHEN length(sentence) % 2 = 0 THEN date ELSE '' END AS date,
+       CASE WHEN length(sentence) % 2 = 0 THEN CAST(length(sentence) AS VARCHAR) ELSE '' END AS code,
+       CASE WHEN length(sentence) % 2 = 1 THEN 'odd length' END AS error
+FROM sents"""
+ORACLE["stored_events_meta"] = _with(*_CODED_ALL) + """
+SELECT l.doc_key AS mongo_id, CAST(coalesce(n, 0) AS INTEGER) AS results,
+       CASE WHEN coalesce(n, 0) > 0 THEN l.date ELSE '' END AS dates
+FROM listed l LEFT JOIN (SELECT doc_key, count(*) AS n FROM coded WHERE NOT failed GROUP BY doc_key) c ON l.doc_key = c.doc_key"""
+ORACLE["noun_pairs"] = _with(*_CODING) + """
+SELECT doc_key, sen_id, string_agg(phrase, '|' ORDER BY start) AS nouns, string_agg(code, '|' ORDER BY start) AS noun_coding
+FROM actors GROUP BY doc_key, sen_id"""
+ORACLE["newest_first"] = _with(_STORED) + """
+SELECT doc_key, ingest_seq, CAST(corenlp_output AS VARCHAR) AS corenlp_output FROM stored ORDER BY ingest_seq DESC, doc_key DESC"""
+ORACLE["merge_hot"] = _with(_STORIES, _STORED) + """
+, keyed AS (
+  SELECT CASE WHEN ingest_seq % 3 = 0 THEN '1' WHEN ingest_seq % 7 <> 0 THEN doc_key END AS doc_key, ingest_seq,
+         CASE WHEN ingest_seq % 2 = 0 THEN 'old' END AS old FROM stories
+)
+SELECT k.doc_key, k.ingest_seq, coalesce(CAST(u.corenlp_output AS VARCHAR), old) AS corenlp_output
+FROM keyed k LEFT JOIN (
+  SELECT doc_key, arg_max(corenlp_output, ingest_seq) AS corenlp_output FROM stored GROUP BY doc_key
+) u ON k.doc_key = u.doc_key"""

@@ -9,25 +9,18 @@ def _strings(*names: str) -> list[T.StructField]:
     return [T.StructField(n, T.StringType()) for n in names]
 
 
-# Extended JSON wraps object ids and dates in one-field objects.
+# Extended JSON wraps object ids, dates and long numbers in one-field objects.
 OBJECT_ID = T.StructType(_strings("$oid"))
-EXTENDED_DATE = T.StructType([T.StructField("$date", T.LongType())])
+EXTENDED_DATE = T.StructType(_strings("$date"))
+LONG_NUMBER = T.StructType(_strings("$numberLong"))
 
 CORRUPT = "_corrupt_record"
 
-# One queue message: a story in extended JSON. Both the date parsed at load
-# time and the raw printed date are carried, because producers differ.
+# The fields read from a queue message, a story in extended JSON. Producers spell
+# them differently, so all are read as text; only broken JSON is corrupt. Both the
+# date parsed at load time and the raw printed date are carried.
 MESSAGE = T.StructType(
-    [T.StructField("_id", OBJECT_ID)]
-    + _strings("doc_id", "article_title", "dateline", "article_body",
-               "news_source", "language", "type", "publication_date_raw")
-    + [
-        T.StructField("publication_date", EXTENDED_DATE),
-        T.StructField("date_added", EXTENDED_DATE),
-        T.StructField("word_count", T.IntegerType()),
-        T.StructField("stanford", T.IntegerType()),
-        T.StructField(CORRUPT, T.StringType()),
-    ]
+    _strings("_id", "doc_id", "article_body", "publication_date_raw", "publication_date", CORRUPT)
 )
 
 # An annotated document with its sentences as a real array.

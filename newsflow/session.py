@@ -27,9 +27,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
 
     The cluster names the parent in ``spark.checkpoint.dir``. Only when that is
-    unset (local tests) a temporary folder of this machine is used.
+    unset in a local session (tests) a temporary folder of this machine is used;
+    on a cluster that would lose data, so it is refused.
     """
     parent = spark.conf.get("spark.checkpoint.dir", None)
     if not parent:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         parent = tempfile.mkdtemp(prefix="newsflow-")
     return f"{parent.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -89,3 +89,16 @@ def test_annotator_in_the_stream(spark, tmp_path):
     publish(tmp_path / "in", "1.txt", "a")
     stored = run(spark, tmp_path, annotator=annotator)
     assert stored.first().sentences[0].tree == "t"
+
+
+def test_timed_trigger_flushes_what_waits(spark, tmp_path):
+    publish(tmp_path / "in", "1.txt", "ab")
+    stream = stream_messages(spark, str(tmp_path / "in"), files_per_trigger=1)
+    query = job.stream_annotate(stream, str(tmp_path / "out"), str(tmp_path / "ck"), every="1 second")
+    try:
+        query.processAllAvailable()
+        publish(tmp_path / "in", "2.txt", "c")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert keys_of(job.read_annotated(spark, str(tmp_path / "out"))) == list("abc")
