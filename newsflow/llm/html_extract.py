@@ -48,14 +48,24 @@ ARTICLE_WORDS = {"article", "articlebody", "main", "content", "post", "entry", "
 
 
 def _holds(name: str, attributes: str) -> int:
-    """-1 for page furniture, 1 for an article container, 0 for neither."""
+    """-1 for page furniture, 1 for an article container, -2 for a header, 0 for none of these.
+
+    Classes of the page as a whole and of an article element tell about layout, not about what they hold.
+    """
+    if name in ("html", "body"):
+        return 0
+    if name in ARTICLE:
+        return 1
     words = {
         word for value in NAMED.findall(attributes) for word in re.split(r"[^a-z]+", value.lower()) if word
     } if attributes else set()
-    if name in FURNITURE or words & FURNITURE_WORDS:
-        # A header inside an article is the article's own; see ``blocks``.
-        return -2 if name == "header" and not words & FURNITURE_WORDS else -1
-    return 1 if name in ARTICLE or words & ARTICLE_WORDS else 0
+    furniture = words & FURNITURE_WORDS
+    if name in FURNITURE - {"header"} or furniture - {"header"}:
+        return -1
+    if name == "header" or furniture:
+        # Inside an article it is the article's own; see ``blocks``.
+        return -2
+    return 1 if words & ARTICLE_WORDS else 0
 
 
 def blocks(page: str) -> list[tuple[str, int, int, int, int]]:

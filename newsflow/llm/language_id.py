@@ -7,7 +7,6 @@ with the tasks; texts are scored in numpy from their sparse counts.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +25,6 @@ SMOOTHING = 0.5
 # Characters handled at once; longer texts are counted piece by piece.
 PIECE = 1 << 18
 NO_LANGUAGE = "und"
-LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass(frozen=True)
@@ -125,9 +123,13 @@ def train(
     return Model(languages, np.log(rows / max(rows.sum(), 1)), np.log(counts / counts.sum(axis=0)).astype(np.float32))
 
 
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
+
+
 def predict(text: str | None, model: Model) -> tuple[str, float]:
     """The most probable language and its posterior; ties go to the first name in order."""
-    if text is None or not model.languages or LETTER.search(text) is None:
+    if text is None or not model.languages or not has_letter(text):
         return NO_LANGUAGE, 0.0
     buckets, n = gram_counts(text)
     scores = n @ model.log_probability[buckets].astype(np.float64) + model.log_prior

@@ -53,13 +53,13 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, fp`` for every row."""
+    """``doc_id, body, fp`` for every row; ``body`` is a hash that tells texts under one key apart."""
 
     def open_task():
-        return lambda keys, texts: (keys, [fingerprint(t) for t in texts])
+        return lambda keys, bodies, texts: (keys, bodies, [fingerprint(t) for t in texts])
 
-    rows = docs.select(F.col(key).cast("bigint"), text_or_empty(F.col(text)).cast("binary"))
-    return map_batches(rows, open_task, {"doc_id": "bigint", "fp": "bigint"})
+    rows = docs.select(F.col(key).cast("bigint"), F.xxhash64(F.col(text)), text_or_empty(F.col(text)).cast("binary"))
+    return map_batches(rows, open_task, {"doc_id": "bigint", "body": "bigint", "fp": "bigint"})
 
 
 def _signed(n: int) -> int:
@@ -120,10 +120,17 @@ def forest(group: np.ndarray, radius: int = RADIUS) -> list[tuple[int, int]]:
 def _runs(batches, columns: int, most: int):
     """Runs of equal first values in sorted batches.
 
-    Yields arrays ``values, starts, ends`` of whole runs. A run above ``most`` rows
-    may come in several parts, so no run is ever held as a whole.
+    Yields the columns with ``starts, ends`` of the runs and whether each is above
+    ``most`` rows. Such a run may come in several parts, all of them marked, so no
+    run is ever held as a whole.
     """
-    held = None
+    held = broken = None
+
+    def marked(part, starts, ends):
+        above = ends - starts > most
+        above[0] |= broken is not None and part[0][0] == broken
+        return part, starts, ends, above
+
     for batch in batches:
         part = [batch.column(i).to_numpy() for i in range(columns)]
         if not len(part[0]):
@@ -132,32 +139,34 @@ def _runs(batches, columns: int, most: int):
             part = [np.concatenate([a, b]) for a, b in zip(held, part)]
         cuts = np.flatnonzero(part[0][1:] != part[0][:-1]) + 1
         last = cuts[-1] if len(cuts) else 0
-        if len(part[0]) - last > most:
-            last, held = len(part[0]), None
-            cuts = np.append(cuts, last)
-        else:
-            held = [a[last:].copy() for a in part]
+        long = len(part[0]) - last > most
+        held = None if long else [a[last:].copy() for a in part]
+        if long:
+            last = len(part[0])
         if last:
-            starts = np.concatenate([[0], cuts[cuts < last]])
-            yield part, starts, np.append(starts[1:], last)
+            starts = np.concatenate([[0], cuts[cuts < last]]).astype(np.int64)
+            yield marked(part, starts, np.append(starts[1:], last))
+        if long:
+            broken = part[0][-1]
     if held is not None:
-        yield held, np.array([0]), np.array([len(held[0])])
+        yield marked(held, np.array([0]), np.array([len(held[0])]))
 
 
 def sparse_links(fps: DataFrame, dense: int = DENSE) -> DataFrame:
     """``a, b`` (a < b) within the radius, and ``(fp, NULL)`` for members of groups above ``dense``."""
 
     def link(batches):
-        for (variant, fp), starts, ends in _runs(batches, 2, dense):
+        for (variant, fp), starts, ends, crowded in _runs(batches, 2, dense):
             size = ends - starts
-            two = starts[size == 2]
+            two = starts[(size == 2) & ~crowded]
             x, y = fp[two].astype(np.uint64), fp[two + 1].astype(np.uint64)
             close = (np.bitwise_count(x ^ y) <= RADIUS) & (x != y)
             pairs = [(fp[two][close], fp[two + 1][close])]
             alone = []
-            for s, e in zip(starts[size > 2], ends[size > 2]):
+            more = (size > 2) | crowded
+            for s, e, above in zip(starts[more], ends[more], crowded[more]):
                 group = np.unique(fp[s:e])
-                if e - s > dense:
+                if above:
                     alone.append(group)
                 else:
                     found = forest(group.astype(np.uint64))
@@ -179,7 +188,7 @@ def dense_links(fps: DataFrame) -> DataFrame:
     """``a, b`` (a < b): stars that connect each unmasked group with a near member."""
 
     def link(batches):
-        for (variant, near, fp), starts, ends in _runs(batches, 3, 1 << 20):
+        for (variant, near, fp), starts, ends, _ in _runs(batches, 3, 1 << 20):
             lows, highs = [], []
             for s, e in zip(starts, ends):
                 if e - s > 1 and near[s:e].any():
@@ -241,6 +250,19 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
+def classified(docs: DataFrame, key: str = "doc_id", text: str = "text", dense: int = DENSE) -> DataFrame:
+    """``doc_id, body, fp, component_id`` for every row, copies of a fingerprint handled as one."""
+    rows = materialised(fingerprints(docs, key, text), "simhash-rows")
+    fps = materialised(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+    roots = components(links(fps.select("fp"), dense))
+    rooted = fps.join(roots, fps["fp"] == roots["node"], "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = materialised(rooted, "simhash-roots")
+    smallest = materialised(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
+    classes = materialised(rooted.join(smallest, "root").select("fp", "component_id"), "simhash-classes")
+    return rows.join(classes, "fp")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", dense: int = DENSE) -> DataFrame:
     """One row per document: ``<key>, fingerprint`` (16 hex digits)``, component_id``.
 
@@ -253,24 +275,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", de
     Copies share one fingerprint, so everything after the first step works on
     distinct fingerprints only.
     """
-    rows = materialised(fingerprints(docs, key, text), "simhash-rows")
-    fps = materialised(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    roots = components(links(fps.select("fp"), dense))
-    rooted = fps.join(roots, fps["fp"] == roots["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    rooted = materialised(rooted, "simhash-roots")
-    smallest = materialised(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
-    classes = materialised(rooted.join(smallest, "root").select("fp", "component_id"), "simhash-classes")
-    return rows.join(classes, "fp").select(
+    return classified(docs, key, text, dense).select(
         F.col("doc_id").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all columns: one document of each component, that with the smallest key.
 
-    Rows with a NULL key cannot be named and stay.
+    A row is known by its key and its text, so another text under the same key is
+    not dropped with it. Rows with a NULL key cannot be named and stay.
     """
-    found = near_duplicates(docs, key, text)
+    gone = classified(docs, key, text).where(F.col("doc_id") != F.col("component_id"))
     dropped = materialised(
-        found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_dropped")).distinct(), "simhash-dropped")
-    return docs.join(dropped, F.col(key) == F.col("_dropped"), "left_anti")
+        gone.select(F.col("doc_id").alias("_dropped"), F.col("body").alias("_body")).distinct(), "simhash-dropped")
+    same = (F.col(key) == F.col("_dropped")) & (F.xxhash64(F.col(text)) == F.col("_body"))
+    return docs.join(dropped, same, "left_anti")

@@ -20,7 +20,7 @@ LONG = "Un mot après l'autre, sans fin et sans raison. " * 6000
 TEXTS = [
     (1, "Released under the MIT License."), (2, None), (3, ""), (4, "Released  under\tthe MIT License."),
     (4, "Released  under\tthe MIT License."), (None, "no key here"), (None, "Released under the MIT License."),
-    (5, " \n\t "), (6, LONG), (7, LONG + "x"), (8, "1234 !!"), (9, "Été <|endoftext|> Σίσυφος ΟΔΟΣ İ K 😀 e\u0301"),
+    (5, " \n\t "), (6, LONG), (7, LONG + "x"), (8, "1234 !! ² Ⅷ"), (9, "Été <|endoftext|> Σίσυφος ΟΔΟΣ İ K 😀 e\u0301"),
     (10, "A\x0bB\x0cC\x1cD\u00a0E"), (0, None), (9, "another text under the same key"),
 ]
 CLASH = ["_text", "_hash", "_key", "fp", "variant", "keep_id", "score", "component_id", "node", "root", "_host", "language", "kept"]
@@ -84,10 +84,14 @@ def planted_fingerprints(seed, groups=30, size=8):
     return sorted(found)
 
 
-@pytest.mark.parametrize("dense", [2_048, 4])
-def test_every_link_within_the_radius(spark, dense):
-    """Chains of fingerprints, with the masked balls alone and with crowded groups sent to the unmasked ones."""
-    prints = planted_fingerprints(5)
+@pytest.mark.parametrize("dense, batch", [(2_048, 10_000), (4, 10_000), (4, 7), (2_048, 7)])
+def test_every_link_within_the_radius(spark, dense, batch):
+    """Chains of fingerprints, with the masked balls alone and with crowded groups sent to the unmasked ones.
+
+    Small batches cut groups in the middle.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    prints = planted_fingerprints(5, groups=30 if batch > 100 else 4)
     df = spark.createDataFrame([(simhash_dedup._signed(p),) for p in prints], "fp bigint")
     edges = simhash_dedup.links(df, dense)
     roots = {r["node"]: r["root"] for r in simhash_dedup.components(edges).collect()}
@@ -100,6 +104,7 @@ def test_every_link_within_the_radius(spark, dense):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, wanted.values()))
     if dense == 4:
         assert simhash_dedup.sparse_links(df, dense).where("b IS NULL").count() > 0
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_components_of_chains_and_stars(spark):
@@ -151,6 +156,8 @@ def test_html(spark):
         (5, "u", "<article><p title='a>b'>kept</p><aside>gone</aside><section id=comments><p>gone</p></section><p>also"),
         (6, "u", "<main><header><h1>Own head</h1></header><p>Body &nbsp; text</p></main><footer>gone</footer>"),
         (7, "u", "<article>" + "<p>word</p>" * 20000 + "</article>"), (7, "u", "<article><p>again</article>"), (8, "u", "<style>x"),
+        (9, "u", "<body class='no-sidebar comments-open'><div class='site-header'>gone</div><div class='post'><div class='entry-header'><h1>Head"
+                 "</h1></div><p>One.<p>Two.</div><div id=sidebar>gone</div>"), (10, "u", "<p>1 ² Ⅷ</p>"),
     ]
     df = rows(spark, pages, "page_id bigint, url string, html string")
     got = {(r["page_id"], r["text"][:40], r["n_chars"]) for r in html_extract.extract(df).collect()}
@@ -159,6 +166,7 @@ def test_html(spark):
     assert (4, "a & b <c> —\n\nd e f", 18) in got
     assert (5, "kept\n\nalso", 10) in got
     assert (6, "Own head\n\nBody text", 19) in got
+    assert (9, "Head\n\nOne.\n\nTwo.", 16) in got
     assert any(i == 7 and n == 20000 * 4 + 19999 * 2 for i, _, n in got)
     assert html_extract.extract(df.where("false")).count() == 0
 
