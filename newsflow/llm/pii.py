@@ -48,6 +48,9 @@ HEX = ["0123456789abcdef", "0123456789ABCDEF"]
 CAPITAL = r"[^\W\d_a-zß-öø-ÿа-яα-ω][^\W\d_A-ZА-Я]+(?:-[^\W\d_]+)?"
 _TITLES = "|".join(sorted((t for titles in TITLES.values() for t in titles), key=len, reverse=True))
 _GIVEN = "|".join(sorted((n for names in GIVEN.values() for n in names), key=len, reverse=True))
+# An international prefix, an area code and groups of digits, up to so many after the first.
+PHONE = r"(?:\+\d{{1,3}}[ .\-]?)?(?:\(\d{{2,4}}\)[ .\-]?)?\d{{2,4}}(?:[ .\-]\d{{2,4}}){{1,{}}}"
+SHORTER_PHONES = [re.compile(PHONE.format(n) + r"(?![\w\-])") for n in (3, 2, 1)]
 # In order of precedence at one place. Runs are possessive, so no text costs more than one pass.
 PATTERNS = [
     ("secret", r"""(?i:\b(?:api[_-]?key|access[_-]?key|token|secret|password|passwd|pwd))["']?\s{0,3}[:=]\s{0,3}["']?(?P<secret>[A-Za-z0-9_+/=\-]{8,}+)"""),
@@ -57,10 +60,11 @@ PATTERNS = [
     ("iban", r"(?<!\w)(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?)(?!\w)"),
     ("card", r"(?<![\w.+])(?P<card>\d{4}[ \-]?\d{4}[ \-]?\d{4}[ \-]?\d{1,7})(?!\w)"),
     ("ssn", r"(?<![\w\-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w\-])"),
-    ("phone", r"(?<![\w+(.\-])(?P<phone>(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]\d{2,4}){1,4}|\+\d{8,15})(?![\w\-])"),
+    ("phone", r"(?<![\w+(.\-])(?P<phone>" + PHONE.format(4) + r"|\+\d{8,15})(?![\w\-])"),
     ("person", rf"(?<!\w)(?P<person>(?:(?:{_TITLES})\.? {CAPITAL}(?: {CAPITAL}){{0,2}})|(?:(?:{_GIVEN}) {CAPITAL}))(?!\w)"),
 ]
 ENTITY = re.compile("|".join(p for _, p in PATTERNS))
+OTHER = re.compile("|".join(p for kind, p in PATTERNS if kind in ("ip", "card", "ssn", "email")))
 # Nothing can match without one of these.
 HINT = re.compile(rf"[\d@]|(?i:token|key|secret|passw|pwd)|\b(?:{_TITLES}|{_GIVEN})\b")
 DATE = re.compile(r"(?:19|20)\d\d([ .\-])\d\d\1\d\d|\d\d([ .\-])\d\d\2(?:19|20)\d\d")
@@ -69,21 +73,41 @@ DATE = re.compile(r"(?:19|20)\d\d([ .\-])\d\d\1\d\d|\d\d([ .\-])\d\d\2(?:19|20)\
 def entities(text: str) -> list[tuple[int, int, str]]:
     """``(start, end, kind)`` of everything personal, left to right, without overlaps.
 
-    Of the phone form only 7 to 15 digits that are not a date are taken.
+    Of the phone form only 7 to 15 digits that are not a date are taken. Groups that
+    follow a number are let go where they would make it too long, or where an
+    address or card begins with them.
     """
     if HINT.search(text) is None:
         return []
-    found = []
-    for m in ENTITY.finditer(text):
+    found, at = [], 0
+    while m := ENTITY.search(text, at):
         kind = m.lastgroup
+        start, end = m.span(kind)
         if kind == "phone":
-            digits = sum(c.isdigit() for c in m[kind])
-            if not 7 <= digits <= 15 or DATE.fullmatch(m[kind]):
+            ends = [end] + [s.end() for p in SHORTER_PHONES if (s := p.match(text, start))]
+            end = next((e for e in ends if _is_phone(text[start:e]) and not _cuts(text, start, e)), None)
+            if end is None:
+                # Go on behind the first group; nothing in it can start another number.
+                at = re.compile(r"[+(]*\d+").match(text, start).end()
                 continue
-        found.append((m.start(kind), m.end(kind), kind))
+        found.append((start, end, kind))
+        at = end
     return found
 
 
+def _is_phone(value: str) -> bool:
+    return 7 <= sum(c.isdigit() for c in value) <= 15 and not DATE.fullmatch(value)
+
+
+def _cuts(text: str, start: int, end: int) -> bool:
+    """Whether another entity begins inside a phone number and ends behind it."""
+    for blank in re.compile(" ").finditer(text, start, end):
+        m = OTHER.match(text, blank.end())
+        if m and m.end() > end:
+            return True
+    return False
+
+
 def _feistel(x: int, size: int, key: bytes, forward: bool) -> int:
     """A keyed permutation of ``range(size)``: a balanced network on bits, walked until inside the range."""
     half = max(1, ((size - 1).bit_length() + 1) // 2)

@@ -290,6 +290,8 @@ def test_surrogates(odd, none):
     assert by_value["Иван Петров"].split(" ")[0] in pii.GIVEN["m", "cyrillic"]
     assert "Version 1.2.3 of 2010-03-05 has 100 pages." in made
     assert pii._replacer(b"other key")(PERSONAL)[0] != made
+    near = "+1 (826) 555-4081 190.137.223.204 and 555 1234 4225039295678253, 12 34 56 78 90 12 34 56 78, a@b.org 030 1234 5678"
+    assert [k for k, _, _ in replace(near)[1]] == ["phone", "ip", "phone", "card", "phone", "phone", "email", "phone"]
     got = pii.anonymise(rows(odd.sparkSession, TEXTS + [(40, PERSONAL)]), "s")
     assert got.count() == len(TEXTS) + 1 and pii.anonymise(none, "s").count() == 0
     assert {r["text"] for r in got.where("n_entities = 0").collect()} == {t or "" for _, t in TEXTS}
