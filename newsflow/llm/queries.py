@@ -17,15 +17,23 @@ RULES = [
     ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
     ("com", "/fr/", "allow"), ("com", "/de/", "block"),
 ]
-# Folder of the public vocabulary files.
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 VOCABULARY = "word_bpe_49k.json"
 # Keys the surrogates of the query; a deployment passes its own.
 SURROGATE_SECRET = "surrogates of the registered query"
 
 
+def vocabulary_path() -> str:
+    """In the folder that ``TOKENIZERS_DIR`` names, else that of the installed public files."""
+    folder = os.environ.get("TOKENIZERS_DIR")
+    if folder:
+        return os.path.join(folder, VOCABULARY)
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
 def vocabulary() -> bpe.Vocabulary:
-    return bpe.load(os.path.join(TOKENIZERS, VOCABULARY))
+    return bpe.load(vocabulary_path())
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -234,7 +234,7 @@ def test_benchmark_in_several_blocks(spark):
 
 def library():
     tokenizers = pytest.importorskip("tokenizers")
-    made = tokenizers.Tokenizer.from_file(os.path.join(queries.TOKENIZERS, queries.VOCABULARY))
+    made = tokenizers.Tokenizer.from_file(queries.vocabulary_path())
     made.no_truncation()
     made.no_padding()
     return made

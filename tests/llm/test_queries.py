@@ -88,7 +88,7 @@ def test_decontamination(spark, documents):
 
 def test_bpe_matches_the_library(spark, documents):
     tokenizers = pytest.importorskip("tokenizers")
-    library = tokenizers.Tokenizer.from_file(os.path.join(queries.TOKENIZERS, queries.VOCABULARY))
+    library = tokenizers.Tokenizer.from_file(queries.vocabulary_path())
     library.no_truncation()
     library.no_padding()
     got = {r["doc_id"]: tuple(r)[1:] for r in queries.op10_bpe(spark, SMALL).collect()}
