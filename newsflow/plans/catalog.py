@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow import schemas
-from newsflow.functions import dates, markup, messages, text
+from newsflow.functions import dates, messages, text
 from newsflow.operators import annotate, coding, extract, maintain, monitor
 from newsflow.operators.joins import join_unique
 from newsflow.session import shared_folder
@@ -547,26 +547,23 @@ def _run_stream(spark, sf_dir):
     return f"{folder}/out"
 
 
-def _run_twice(spark, sf_dir, second_checkpoint: str):
-    """The messages in several files, one per trigger; half of them, then a restart with all, sent again."""
+def stream_restart(spark, sf_dir):
+    """Half of the messages, then a restart from the checkpoint with all of them sent: each document once.
+
+    The messages lie in several files, one per trigger, so there are several micro-batches.
+    """
     folder = shared_folder(spark, "restart")
     s = stories(spark, sf_dir).select("ingest_seq", "doc_key", "doc_id", "publication_date", "article_body")
     value = messages.story_message(s.drop("ingest_seq"), key="doc_key").alias("value")
-    first, all_of_them = s.where("ingest_seq % 2 = 0"), s
-    for part, checkpoint in ((first, "first"), (all_of_them, second_checkpoint)):
+    for part in (s.where("ingest_seq % 2 = 0"), s):
         part.select(value).repartition(3).write.mode("append").text(f"{folder}/queue")
         incoming = stream_messages(spark, f"{folder}/queue", files_per_trigger=1)
         streaming.stream_annotate(
-            incoming, f"{folder}/out", f"{folder}/checkpoint-{checkpoint}", look_back=None, every=None,
+            incoming, f"{folder}/out", f"{folder}/checkpoint", look_back=None, every=None,
         ).awaitTermination()
     return annotate.to_stored(streaming.read_annotated(spark, f"{folder}/out"))
 
 
-def stream_restart(spark, sf_dir):
-    """Stopped, restarted from its checkpoint, half of the messages delivered twice: each document once."""
-    return _run_twice(spark, sf_dir, "first")
-
-
 def stream_annotate(spark, sf_dir):
     """The documents as a message stream, annotated by the streaming job."""
     stored = streaming.read_annotated(spark, _run_stream(spark, sf_dir))
