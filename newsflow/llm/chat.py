@@ -12,7 +12,6 @@ collected. ``(place, level, turn)`` orders the messages of a conversation.
 from __future__ import annotations
 
 import json
-import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -212,8 +211,3 @@ def format_messages(
     return map_batches(made, open_task, {
         "conv_id": "bigint", "turn": "bigint", "role": "string", "kind": "string", "call_id": "string", "call_turn": "bigint",
         "place": "bigint", "level": "int", "errors": "string", "json": "string"})
-
-
-def references(arguments: str) -> list[str]:
-    """The identifiers an argument text refers to."""
-    return re.findall(REFERENCE, arguments.replace('\\"', '"'))

@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.common import filter_batches, map_batches, text_or_empty
+from newsflow.llm.common import filter_batches, map_batches
 
 # The matrix has this many columns: 2 ** 15 buckets of 4 bytes, 128 KB per language.
 BUCKETS = 1 << 15
