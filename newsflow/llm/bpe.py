@@ -25,6 +25,24 @@ END = "</w>"
 NEVER = 1 << 60
 # Longer words are merged with a heap, whose work does not grow with the square of the length.
 SHORT_WORD = 256
+# Capital letters newer than Python's tables, and how far off their small letters are.
+NEW_CAPITALS = {
+    (0x1C89, 0x1C89): 0x1, (0xA7CB, 0xA7CB): 0x264 - 0xA7CB, (0xA7CC, 0xA7CC): 0x1, (0xA7CE, 0xA7CE): 0x1,
+    (0xA7D2, 0xA7D2): 0x1, (0xA7D4, 0xA7D4): 0x1, (0xA7DA, 0xA7DA): 0x1, (0xA7DC, 0xA7DC): 0x19B - 0xA7DC,
+    (0x10D50, 0x10D65): 0x20, (0x16EA0, 0x16EB8): 0x1B,
+}
+SMALL = {c: c + step for (low, high), step in NEW_CAPITALS.items() for c in range(low, high + 1)}
+# Letters and numbers newer than Unicode 16, which the tokenizers library takes for neither.
+NEWER = (
+    r"[\u0558\u058B-\u058C\u088F\u0C5C\u0CDC\u208F\u209D-\u209F\uA7CE-\uA7CF\uA7D2\uA7D4\uA7DD\uA7E2\uA7F1\uAB6C-\uAB6D"
+    r"\U000107BB-\U000107BF\U00010940-\U00010959\U00010EC5-\U00010EC7\U00010ED9-\U00010EEE\U00011B0A\U00011DB0-\U00011DDB"
+    r"\U00011DE0-\U00011DE9\U00011DF1\U0001246F\U00012475-\U0001247F\U00012550-\U00012686\U00016EA0-\U00016EB8"
+    r"\U00016EBB-\U00016ED3\U00016FF2-\U00016FF6\U000187F8-\U000187FF\U00018CD6-\U00018CDA\U00018D09-\U00018D20"
+    r"\U00018D80-\U00018DF2\U00018E00-\U00019191\U000191A0-\U000191D2\U0001B123-\U0001B128\U0001B168\U0001D6A6"
+    r"\U0001DF1F-\U0001DF24\U0001DF2B-\U0001DF81\U0001DF90-\U0001DF96\U0001DFCD-\U0001DFFF\U0001E6C0-\U0001E6DE"
+    r"\U0001E6E0-\U0001E6E2\U0001E6E4-\U0001E6E5\U0001E6E7-\U0001E6ED\U0001E6F0-\U0001E6F4\U0001E6FE-\U0001E6FF"
+    r"\U0002B73A-\U0002B73F\U0002B81E\U0002CEA2-\U0002CEAD\U000323B0-\U00033479\U0003D000-\U0003FC3F]"
+)
 # Words that a task keeps in each of two generations: when the newer one is full
 # it becomes the older one, so frequent words stay (together about 200 MB).
 CACHED_WORDS = 250_000
@@ -73,6 +91,12 @@ def load(path: str) -> Vocabulary:
     return Vocabulary(tokens, [ids[s] for s in symbols], [ids[s + END] for s in symbols], merges, special, pattern)
 
 
+def with_older_letters(pattern: str, newer: str = NEWER) -> str:
+    """``pattern`` for an engine that takes the characters of ``newer`` for neither letters nor numbers."""
+    exact = pattern.replace(r"[\p{L}]", rf"[\p{{L}}--{newer}]").replace(r"[\p{N}]", rf"[\p{{N}}--{newer}]")
+    return exact.replace(r"[^\p{White_Space}\p{L}\p{N}]", rf"[^\p{{White_Space}}[\p{{L}}\p{{N}}--{newer}]]")
+
+
 def merge_short(parts: list[int], merges: dict) -> list[int]:
     """Ids of a word by scanning the rank array."""
     get = merges.get
@@ -126,7 +150,7 @@ def encode_word(word: str, vocabulary: Vocabulary) -> list[int]:
 
 def lowered(text: str) -> str:
     """Lower case character by character: a capital sigma at a word's end is no exception."""
-    return text.replace("Σ", "σ").lower()
+    return text.replace("Σ", "σ").lower().translate(SMALL)
 
 
 class Encoder:
@@ -135,6 +159,8 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.find = regex.compile(vocabulary.pattern).findall
+        self.newer = regex.compile(NEWER).search
+        self.find_older = None
         self.cut = regex.compile("|".join(map(regex.escape, vocabulary.special))).split if vocabulary.special else None
         self.named = regex.compile("|".join(map(regex.escape, vocabulary.special))).findall if vocabulary.special else None
         self.cache: dict[str, tuple[int, str, str]] = {}
@@ -153,9 +179,15 @@ class Encoder:
         if len(self.cache) >= CACHED_WORDS:
             self.cache, self.older = {}, self.cache
         get, make = self.cache.get, self._word
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-        return [get(w) or make(w) for w in self.find(lowered(text))]
+        if text.isascii():
+            return [get(w) or make(w) for w in self.find(text.lower())]
+        text = lowered(unicodedata.normalize("NFC", text))
+        find = self.find
+        if self.newer(text):
+            if self.find_older is None:
+                self.find_older = regex.compile(with_older_letters(self.vocabulary.pattern), regex.VERSION1).findall
+            find = self.find_older
+        return [get(w) or make(w) for w in find(text)]
 
     def pieces(self, text: str) -> list[tuple[int, str, str]]:
         """``(tokens, ids as text, decoded text)`` of each word; special tokens are found before anything else."""

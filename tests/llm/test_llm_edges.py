@@ -347,3 +347,14 @@ def test_chat(spark):
     assert by[3, 3]["errors"] == "call 0: no id; call 0: $.query: missing; call 0: $.limit: too small; call 0: $.z: unknown"
     assert {by[4, t]["kind"] for t in range(4)} == {"cycle"}
     assert chat.format_messages(df.where("false")).count() == 0
+
+
+def test_bpe_splits_and_lowers_characters_of_every_age_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(queries.vocabulary_path())
+    encoder = bpe.Encoder(queries.vocabulary())
+    # Letters of Unicode 15, 16 and 17, capitals of 16 and 17, and places without a character.
+    for c in "ᲉꟋꟚꟜ\U00010D50\U00010D70\U00016EA0\U00016EBB՘₟࢏\U000323B0\U00031350\U000105C0":
+        for text in (f"a{c}", f"!{c}", f"{c}b {c}", f"😤{c}1"):
+            assert encoder.encode(text) == library.encode(text, add_special_tokens=False).ids, ascii(text)
