@@ -56,8 +56,10 @@ def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     return buckets, total[buckets]
 
 
-def sample(docs: DataFrame, key: str, lang: str, per_language: int) -> DataFrame:
-    """About ``per_language`` labelled rows of every language, chosen by a hash of the key.
+def sample(docs: DataFrame, key: str, text: str, lang: str, per_language: int) -> DataFrame:
+    """About ``per_language`` labelled rows of every language, chosen by a hash of key and text.
+
+    With the text in it, rows that share one key, or have none, are not taken or left as a whole.
 
     Counts over all rows set each language's share; they are one small row per language.
     """
@@ -68,7 +70,7 @@ def sample(docs: DataFrame, key: str, lang: str, per_language: int) -> DataFrame
         return docs.where(F.lit(False))
     unit = 1 << 30
     parts = [
-        (F.col(lang) == r[lang]) & (F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(unit)) < int(unit * per_language / r["count"]) + 1)
+        (F.col(lang) == r[lang]) & (F.pmod(F.xxhash64(F.col(key), F.col(text), F.lit(7)), F.lit(unit)) < int(unit * per_language / r["count"]) + 1)
         for r in counts
     ]
     chosen = parts[0]
@@ -87,7 +89,7 @@ def train(
     language and bucket. Whole numbers are added, so the model does not depend
     on the order of the rows.
     """
-    chosen = sample(docs, key, lang, per_language).where(F.col(text).isNotNull())
+    chosen = sample(docs, key, text, lang, per_language).where(F.col(text).isNotNull())
 
     def counted(batches):
         import pyarrow as pa
