@@ -43,22 +43,28 @@ FURNITURE_WORDS = {
     "login", "search", "share", "social", "related", "recommended", "comment", "comments", "disqus", "respond", "reply", "replies",
     "copyright", "legal", "pagination", "pager", "toolbar", "complementary", "contentinfo",
 }
+# Prefixes of classes that tell about the layout around an element, as in "has-sidebar".
+LAYOUT = ("has-", "with-", "without-", "no-")
 ARTICLE = {"article", "main"}
+# Whole classes of article elements that hold something else.
+OTHER_ARTICLES = {"comment", "comments", "reply", "ad", "advert", "sponsored", "promo", "related"}
 ARTICLE_WORDS = {"article", "articlebody", "main", "content", "post", "entry", "story", "body", "text"}
 
 
 def _holds(name: str, attributes: str) -> int:
     """-1 for page furniture, 1 for an article container, -2 for a header, 0 for none of these.
 
-    Classes of the page as a whole and of an article element tell about layout, not about what they hold.
+    Classes of the page as a whole tell about layout, not about what it holds, and so do most of an
+    article element; only the whole classes of ``OTHER_ARTICLES`` count there.
     """
     if name in ("html", "body"):
         return 0
+    classes = [
+        c for value in NAMED.findall(attributes) for c in value.lower().strip("\"'").split() if not c.startswith(LAYOUT)
+    ] if attributes else []
     if name in ARTICLE:
-        return 1
-    words = {
-        word for value in NAMED.findall(attributes) for word in re.split(r"[^a-z]+", value.lower()) if word
-    } if attributes else set()
+        return -1 if OTHER_ARTICLES.intersection(classes) else 1
+    words = {word for c in classes for word in re.split(r"[^a-z]+", c) if word}
     furniture = words & FURNITURE_WORDS
     if name in FURNITURE - {"header"} or furniture - {"header"}:
         return -1
