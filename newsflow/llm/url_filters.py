@@ -31,6 +31,11 @@ def path(url: Column) -> Column:
     return F.regexp_extract(text_or_empty(url), PARTS, 2)
 
 
+def digest(host: Column, path: Column) -> Column:
+    """The blank keeps a host's end apart from a path that does not start with a slash."""
+    return F.sha2(F.concat(host, F.lit(" "), path), 256)
+
+
 def prepared_rules(rules: DataFrame) -> DataFrame:
     """Rules ``host, path, verdict`` with their digests.
 
@@ -46,7 +51,7 @@ def prepared_rules(rules: DataFrame) -> DataFrame:
             F.length("h").alias("rule_host"), F.length(F.concat("h", "p")).alias("rule_length"),
             (F.length("h") - F.length(F.translate("h", ".", "")) + 1).alias("labels"),
             F.length("p").alias("prefix"),
-            F.sha2(F.concat("h", "p"), 256).alias("rule_digest"),
+            digest(F.col("h"), F.col("p")).alias("rule_digest"),
         )
     )
 
@@ -81,15 +86,13 @@ def judge(
     labels = F.length("_host") - F.length(F.translate("_host", ".", "")) + 1
     form = F.col("_form")
     fits = (form["labels"] <= labels) & (form["prefix"] <= F.length("_path")) & (F.col("_host") != "")
-    expression = F.concat(
-        F.expr("substring_index(_host, '.', -_form.labels)"),
-        F.substring("_path", F.lit(1), form["prefix"]),
-    )
+    expression = digest(
+        F.expr("substring_index(_host, '.', -_form.labels)"), F.substring("_path", F.lit(1), form["prefix"]))
     listed = F.array(*[F.struct(F.lit(a).alias("labels"), F.lit(b).alias("prefix")) for a, b in forms]) if forms else (
         F.array().cast("array<struct<labels:int,prefix:int>>"))
     expanded = (
         rows.withColumn("_form", F.explode_outer(listed))
-        .withColumn("_digest", F.when(fits, F.sha2(expression, 256)))
+        .withColumn("_digest", F.when(fits, expression))
         .select(*keys, "_digest", F.substring("_digest", 1, SHORT).alias("_short"),
                 # One form of each row carries the count of its copies.
                 ((form == listed[0]).cast("bigint") if forms else F.lit(1)).alias("_copy"))
