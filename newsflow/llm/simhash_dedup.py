@@ -251,16 +251,22 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def classified(docs: DataFrame, key: str = "doc_id", text: str = "text", dense: int = DENSE) -> DataFrame:
-    """``doc_id, body, fp, component_id`` for every row, copies of a fingerprint handled as one."""
+    """``doc_id, body, fp, component_id, first`` for every row, copies of a fingerprint handled as one.
+
+    ``first`` is true for the component's row with the smallest key, NULL last; ``body`` breaks ties.
+    """
     rows = materialised(fingerprints(docs, key, text), "simhash-rows")
-    fps = materialised(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "body")
+    fps = materialised(rows.groupBy("fp").agg(F.min(order).alias("least")), "simhash-distinct")
     roots = components(links(fps.select("fp"), dense))
     rooted = fps.join(roots, fps["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = materialised(rooted, "simhash-roots")
-    smallest = materialised(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
-    classes = materialised(rooted.join(smallest, "root").select("fp", "component_id"), "simhash-classes")
-    return rows.join(classes, "fp")
+    smallest = materialised(rooted.groupBy("root").agg(F.min("least").alias("keeper")), "simhash-least")
+    classes = materialised(rooted.join(smallest, "root").select("fp", "keeper"), "simhash-classes")
+    first = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("body") == F.col("keeper.body"))
+    return rows.join(classes, "fp").select(
+        "doc_id", "body", "fp", F.col("keeper.doc_id").alias("component_id"), first.alias("first"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", dense: int = DENSE) -> DataFrame:
@@ -282,11 +288,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", de
 def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all columns: one document of each component, that with the smallest key.
 
-    A row is known by its key and its text, so another text under the same key is
-    not dropped with it. Rows with a NULL key cannot be named and stay.
+    A row is known by its key and its text. Of several texts under the smallest
+    key one stays, and so does one text of a component without any key. Rows
+    repeated with one key and one text cannot be told apart and stay or go together.
     """
-    gone = classified(docs, key, text).where(F.col("doc_id") != F.col("component_id"))
+    gone = classified(docs, key, text).where(~F.col("first"))
     dropped = materialised(
         gone.select(F.col("doc_id").alias("_dropped"), F.col("body").alias("_body")).distinct(), "simhash-dropped")
-    same = (F.col(key) == F.col("_dropped")) & (F.xxhash64(F.col(text)) == F.col("_body"))
+    same = F.col(key).eqNullSafe(F.col("_dropped")) & (F.xxhash64(F.col(text)) == F.col("_body"))
     return docs.join(dropped, same, "left_anti")

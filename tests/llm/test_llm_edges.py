@@ -71,6 +71,20 @@ def test_simhash(odd, none):
         i for i, _, c in brute.linked(TEXTS) if i is not None and i == c}
 
 
+def test_one_of_each_near_group_stays_without_keys_and_under_one_key(spark):
+    base = [f"word{i}" for i in range(300)]
+    near = [" ".join(base + [f"end{n}"]) for n in range(3)]
+    data = [(None, near[0]), (None, near[1]), (7, near[2]), (8, "some other text"), (8, "quite another thing"),
+            (None, "a b c"), (None, "a b c ")]
+    linked = brute.linked(data)
+    assert len({fp for _, fp, _ in linked}) < len(data)
+    stay = tuples(simhash_dedup.first_of_each(rows(spark, data)).select("doc_id", "text"))
+    assert [t for _, t in stay if t in near] == [near[2]]
+    assert sorted(t.strip() for _, t in stay if t not in near) == ["a b c", "quite another thing", "some other text"]
+    tied = [(5, near[0]), (5, near[1]), (5, near[2])]
+    assert simhash_dedup.first_of_each(rows(spark, tied)).count() == 1
+
+
 def planted_fingerprints(seed, groups=30, size=8):
     """Random fingerprints with neighbours at 1 to 5 bits, and one crowd around a centre."""
     pick = random.Random(seed)
@@ -147,6 +161,10 @@ def test_url_filters(spark, most):
     assert url_filters.judge(df.where("false"), rules).count() == 0
     assert {r["verdict"] for r in url_filters.judge(df, rules.where("false")).collect()} == {"allow"}
     assert url_filters.judge(df, rules.where("false")).count() == len(URLS)
+    # A path without a slash is no part of the host, though both write the same rule.
+    odd_rules = spark.createDataFrame([("o", "rg/", "block"), ("net", "/", "allow")], "host string, path string, verdict string")
+    one = spark.createDataFrame([(1, "https://x.org/a")], "page_id bigint, url string")
+    assert tuples(url_filters.judge(one, odd_rules)) == [(1, "x.org", "/a", None, "allow")]
 
 
 def test_html(spark):
@@ -158,6 +176,8 @@ def test_html(spark):
         (7, "u", "<article>" + "<p>word</p>" * 20000 + "</article>"), (7, "u", "<article><p>again</article>"), (8, "u", "<style>x"),
         (9, "u", "<body class='no-sidebar comments-open'><div class='site-header'>gone</div><div class='post'><div class='entry-header'><h1>Head"
                  "</h1></div><p>One.<p>Two.</div><div id=sidebar>gone</div>"), (10, "u", "<p>1 ² Ⅷ</p>"),
+        (11, "u", "<div class='page has-sidebar'><article class='post no-comments'><p>Kept.</p><article class=comment><p>gone</p></article>"
+                  "</article><div class='left-sidebar'>gone</div></div>"),
     ]
     df = rows(spark, pages, "page_id bigint, url string, html string")
     got = {(r["page_id"], r["text"][:40], r["n_chars"]) for r in html_extract.extract(df).collect()}
@@ -166,6 +186,7 @@ def test_html(spark):
     assert (4, "a & b <c> —\n\nd e f", 18) in got
     assert (5, "kept\n\nalso", 10) in got
     assert (6, "Own head\n\nBody text", 19) in got
+    assert (11, "Kept.", 5) in got
     assert (9, "Head\n\nOne.\n\nTwo.", 16) in got
     assert any(i == 7 and n == 20000 * 4 + 19999 * 2 for i, _, n in got)
     assert html_extract.extract(df.where("false")).count() == 0
