@@ -28,6 +28,9 @@ RADIUS = 24
 BYTES = 8
 # Benchmark text that travels with the tasks at once; a larger benchmark is searched in several passes.
 BLOCK_CHARS = 4_000_000
+# Neighbouring windows compared at once, and the most (window, item) pairs in their table of one byte each.
+WINDOWS = 2_048
+TABLE = 1 << 25
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -130,7 +133,7 @@ def search(text: str, index: Index) -> list[tuple[int, float, int, int, int]]:
     words = words_of(text)
     known = index.vocabulary.get
     numbers = np.array([known(w, 0) for w in words], dtype=np.int64)
-    hits: dict[int, dict[int, set[int]]] = {}
+    hits: dict[int, dict[int, list[int]]] = {}  # size class -> item -> places of shared shingles, ascending
     for size in index.sizes:
         if len(words) < size:
             continue
@@ -144,27 +147,32 @@ def search(text: str, index: Index) -> list[tuple[int, float, int, int, int]]:
         at[at == len(index.keys[size])] = 0
         for p in places[index.keys[size][at] == keys]:
             for width, item in index.holders.get(tuple(numbers[p: p + size].tolist()), ()):
-                hits.setdefault(width, {}).setdefault(item, set()).add(int(p))
+                hits.setdefault(width, {}).setdefault(item, []).append(int(p))
     found = []
     for width, by_item in hits.items():
         found += _verify(words, index.classes[width], by_item)
     return sorted(found)
 
 
-def _verify(words: list[str], group: SizeClass, by_item: dict[int, set[int]]) -> list[tuple[int, float, int, int, int]]:
+def _verify(
+    words: list[str], group: SizeClass, by_item: dict[int, list[int]], windows: int = WINDOWS,
+) -> list[tuple[int, float, int, int, int]]:
     # A text shorter than the item is one window.
     width = min(group.words, len(words))
     n = width - group.shingle + 1
     last = len(words) - width
-    wanted: dict[int, set[int]] = {}  # window start -> items that share a shingle with it
-    for item, places in by_item.items():
-        for p in places:
-            for start in range(max(0, p - n + 1), min(last, p) + 1):
-                wanted.setdefault(start, set()).add(item)
-    starts = np.array(sorted(wanted), dtype=np.int64)
+    shared = {item: np.array(places) for item, places in by_item.items()}
+    # A window is taken up if it covers a shared shingle of any item.
+    cover = np.zeros(last + 2, dtype=np.int64)
+    for places in shared.values():
+        np.add.at(cover, np.maximum(places - n + 1, 0), 1)
+        np.add.at(cover, np.minimum(places, last) + 1, -1)
+    starts = np.flatnonzero(np.cumsum(cover[:-1]) > 0)
     best: dict[int, tuple[float, int, int]] = {}
-    # Neighbouring windows share their shingles; far ones are worked on apart.
-    for part in np.split(starts, np.flatnonzero(np.diff(starts) > n) + 1):
+    # Neighbouring windows share their shingles; far ones are worked on apart, and long runs piece by piece.
+    at_once = max(1, min(windows, TABLE // len(group.ids)))
+    runs = np.split(starts, np.flatnonzero(np.diff(starts) > n) + 1)
+    for part in (run[i: i + at_once] for run in runs for i in range(0, len(run), at_once)):
         first = int(part[0])
         local = shingles(words[first: int(part[-1]) + width], group.shingle)
         prints = window_fingerprints(_digests(local), part - first, n)
@@ -172,8 +180,12 @@ def _verify(words: list[str], group: SizeClass, by_item: dict[int, set[int]]) ->
         for b in range(BYTES):
             candidate |= group.index[b][prints[:, b]]
         for i, item in zip(*np.nonzero(candidate)):
+            places = shared.get(item)
+            if places is None:
+                continue
             start = int(part[i])
-            if item not in wanted[start]:
+            next_shared = np.searchsorted(places, start)
+            if next_shared == len(places) or places[next_shared] >= start + n:
                 continue
             bits = int(np.bitwise_count(prints[i] ^ group.prints[item]).sum())
             if bits > RADIUS:

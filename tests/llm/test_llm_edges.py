@@ -379,3 +379,21 @@ def test_bpe_splits_and_lowers_characters_of_every_age_as_the_library_does():
     for c in "ᲉꟋꟚꟜ\U00010D50\U00010D70\U00016EA0\U00016EBB՘₟࢏\U000323B0\U00031350\U000105C0":
         for text in (f"a{c}", f"!{c}", f"{c}b {c}", f"😤{c}1"):
             assert encoder.encode(text) == library.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
+def test_decontamination_works_on_long_runs_piece_by_piece(monkeypatch):
+    """A text full of benchmark passages is one long run of windows; its pieces give the same matches."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(30)]
+    items = [(i, " ".join(rng.choices(words, k=12 + i % 3))) for i in range(9)]
+    texts = [(k, " ".join(body for i in rng.sample(range(9), 9) for body in (items[i][1], "w1 w2"))) for k in range(4)]
+    texts.append((4, " ".join([items[0][1]] * 30)))
+    wanted = sorted(brute.leaks(texts, items))
+    index = decontaminate.build_index(items)
+
+    def found():
+        return sorted((k, *hit[:4]) for k, text in texts for hit in decontaminate.search(text, index))
+
+    assert found() == wanted and len(wanted) > 30
+    monkeypatch.setattr(decontaminate, "TABLE", 20)
+    assert found() == wanted
