@@ -43,8 +43,18 @@ FURNITURE_WORDS = {
     "login", "search", "share", "social", "related", "recommended", "comment", "comments", "disqus", "respond", "reply", "replies",
     "copyright", "legal", "pagination", "pager", "toolbar", "complementary", "contentinfo",
 }
-# Prefixes of classes that tell about the layout around an element, as in "has-sidebar".
-LAYOUT = ("has-", "with-", "without-", "no-")
+# What follows these in a class tells about the layout around an element, as in "has-sidebar" and "page-with-sidebar".
+LAYOUT = re.compile(r"(?:^|-)(?:has|with|without|no)-.*")
+# Endings of classes that tell about a state of the page, as in "comments-open".
+STATE = ("-open", "-closed", "-enabled", "-disabled", "-active", "-inactive", "-visible", "-hidden", "-on", "-off")
+# Words of containers whose article elements are not the article, anywhere in a class or as a whole class.
+STRICT_WORDS = {
+    "comment", "comments", "disqus", "respond", "reply", "replies", "related", "recommended", "sponsor", "sponsored", "promo", "promotion",
+}
+STRICT_CLASSES = STRICT_WORDS | {
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "nav", "navbar", "navigation", "menu", "breadcrumb",
+    "breadcrumbs", "footer", "contentinfo", "sidebar", "aside", "complementary", "widget",
+}
 ARTICLE = {"article", "main"}
 # Whole classes of article elements that hold something else.
 OTHER_ARTICLES = {"comment", "comments", "reply", "ad", "advert", "sponsored", "promo", "related"}
@@ -52,25 +62,29 @@ ARTICLE_WORDS = {"article", "articlebody", "main", "content", "post", "entry", "
 
 
 def _holds(name: str, attributes: str) -> int:
-    """-1 for page furniture, 1 for an article container, -2 for a header, 0 for none of these.
+    """1 for an article container, -1 and -2 for page furniture, -3 for a header, 0 for none of these.
 
-    Classes of the page as a whole tell about layout, not about what it holds, and so do most of an
-    article element; only the whole classes of ``OTHER_ARTICLES`` count there.
+    An article or main element below -1 is still the article: a class word or a form may stand for the
+    layout of a page around it. Below -2 nothing is. Classes of the page as a whole tell about layout, not
+    about what it holds, and so do most of an article element; only the whole classes of ``OTHER_ARTICLES``
+    count there.
     """
     if name in ("html", "body"):
         return 0
     classes = [
-        c for value in NAMED.findall(attributes) for c in value.lower().strip("\"'").split() if not c.startswith(LAYOUT)
+        LAYOUT.sub("", c) for value in NAMED.findall(attributes) for c in value.lower().strip("\"'").split() if not c.endswith(STATE)
     ] if attributes else []
     if name in ARTICLE:
-        return -1 if OTHER_ARTICLES.intersection(classes) else 1
+        return -2 if OTHER_ARTICLES.intersection(classes) else 1
     words = {word for c in classes for word in re.split(r"[^a-z]+", c) if word}
     furniture = words & FURNITURE_WORDS
-    if name in FURNITURE - {"header"} or furniture - {"header"}:
+    if name in FURNITURE - {"header", "form"} or words & STRICT_WORDS or STRICT_CLASSES.intersection(classes):
+        return -2
+    if name == "form" or furniture - {"header"}:
         return -1
     if name == "header" or furniture:
         # Inside an article it is the article's own; see ``blocks``.
-        return -2
+        return -3
     return 1 if words & ARTICLE_WORDS else 0
 
 
@@ -78,7 +92,8 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
     """Flat text blocks: ``(text, words, linked words, container, heading)`` in page order.
 
     Inline tags do not end a block, every other tag does. The container is -1
-    below any furniture, 1 below an article, else 0. Text of scripts, styles and
+    below any furniture, 1 below an article, else 0; an article or main element
+    ends furniture around it that may be layout (see ``_holds``). Text of scripts, styles and
     other silent elements is left out. Elements that are never closed end with
     their parent; an end tag without a start is ignored.
     """
@@ -135,11 +150,13 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
                 stack.pop()
             kind = _holds(name, attributes)
             above = stack[-1][1] if stack else 0
-            if kind == -2:
-                kind = 0 if above == 1 else -1
+            if kind == -3:
+                kind = 0 if above == 1 else -2 if name == "header" else -1
+            if above == -1 and kind == 1 and name in ARTICLE and all(n != "article" for n, _ in stack):
+                above = 0
             # Furniture stays furniture all the way down; an article may hold furniture.
-            stack.append((name, -1 if -1 in (kind, above) else 1 if 1 in (kind, above) else 0))
-        container = stack[-1][1] if stack else 0
+            stack.append((name, min(kind, above) if min(kind, above) < 0 else max(kind, above)))
+        container = max(stack[-1][1], -1) if stack else 0
         heading = int(bool(stack) and len(stack[-1][0]) == 2 and stack[-1][0][0] == "h" and stack[-1][0][1].isdigit())
     end_block()
     return found
@@ -200,6 +217,18 @@ def labelled_pages() -> list[tuple[str, str]]:
         text = "".join(f"<{t}>{say('KEEP', n)}</{t}>" for t, n in body)
         inside = f"<div class='share'>{say('DROP', 3)}</div>" if container in ("article", "main") else ""
         pages.append((f"{before}<{container}>{text}{inside}</{container.split()[0]}>{after}", container))
+    # Pages whose layout names furniture around the article, with furniture that holds article elements.
+    teaser = f"<article><h2>{say('DROP', 4)}</h2><p>{say('DROP', 25)}</p></article>"
+    aside = (f"<div class='sidebar'>{teaser}</div><aside>{teaser}</aside><section class='related-posts'>{teaser}</section>"
+             f"<div class='comments-area'>{teaser}</div><footer>{teaser}</footer>")
+    layouts = [
+        ("div class='content-sidebar-wrap'", ("article", "main")), ("div class='page-with-sidebar'", ("article", "main", "div class=post")),
+        ("form action='/page'", ("article", "main")), ("div class='site-header-wrap'", ("article", "main")),
+        ("div", ("div class='entry-content comments-open'",)),
+    ]
+    for (around, containers), body in itertools.product(layouts, bodies):
+        text = "".join(f"<{t}>{say('KEEP', n)}</{t}>" for t, n in body)
+        pages += [(f"<{around}><nav>{menu}</nav><{c}>{text}</{c.split()[0]}>{aside}</{around.split()[0]}>", c) for c in containers]
     return pages
 
 
