@@ -27,7 +27,14 @@ WORD = re.compile(r"\w+")
 BLANKS = re.compile(r"\s+")
 
 # Element names of HTML.
-SILENT = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "textarea", "title", "select"}
+RAW = {"script", "style", "iframe", "textarea", "title"}
+SILENT = {"noscript", "template", "svg", "math", "object", "canvas", "select"}
+# Drawings and formulas, where a slash ends an element; blocks of a page inside one end it.
+FOREIGN = {"svg", "math"}
+BREAKOUT = {"p", "div", "blockquote", "ul", "ol", "dl", "li", "table", "pre", "hr", "center", "h1", "h2", "h3", "h4", "h5", "h6"}
+HTML_IN_FOREIGN = {"foreignobject", "desc", "annotation-xml", "mi", "mo", "mn", "ms", "mtext"}
+# A slash before the end of a tag that belongs to an unquoted value.
+UNQUOTED_END = re.compile(r"""=\s*[^\s"'>][^\s>]*/\Z""")
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i",
     "img", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time",
@@ -101,6 +108,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
     stack: list[tuple[str, int]] = []
     links = heading = 0
     container = 0
+    silent = None  # the place of the outermost silent element on the stack
     at, length = 0, len(page)
 
     def end_block():
@@ -114,7 +122,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
     while at < length:
         m = MARKUP.search(page, at)
         piece = page[at:m.start()] if m else page[at:]
-        if piece:
+        if piece and silent is None:
             parts.append(piece)
             if links:
                 linked += len(piece.split())
@@ -125,11 +133,41 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
         if not name:
             continue
         name = name.lower()
-        if name in SILENT and not closing:
+        foreign = name in FOREIGN
+        if silent is not None and not closing:
+            inner = next((n for n, _ in reversed(stack) if n in FOREIGN or n in HTML_IN_FOREIGN or n in SILENT), None)
+            if inner in FOREIGN and name in BREAKOUT:
+                # An unclosed drawing ends where the page goes on.
+                while stack[-1][0] not in FOREIGN:
+                    stack.pop()
+                stack.pop()
+                silent = None if len(stack) <= silent else silent
+            foreign = foreign or inner in FOREIGN
+        if foreign and not closing and attributes.endswith("/") and not UNQUOTED_END.search(attributes):
+            continue
+        if name in RAW and not closing:
             # Raw text up to the matching end tag, whatever it looks like.
             end = re.compile(rf"</{name}\s*>|\Z", re.I).search(page, at)
             at = end.end()
             continue
+        if silent is not None and not closing:
+            if name not in VOID:
+                stack.append((name, 0))
+            continue
+        if name in SILENT and not closing:
+            silent = len(stack)
+            stack.append((name, 0))
+            continue
+        if silent is not None:
+            depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][0] == name), None)
+            if depth is None:
+                continue
+            if depth >= silent:
+                # The block around a silent element goes on behind it.
+                del stack[depth:]
+                silent = None if depth == silent else silent
+                continue
+            silent = None
         if name in INLINE:
             if name == "a":
                 links = 0 if closing else 1
