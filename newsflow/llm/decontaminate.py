@@ -196,13 +196,15 @@ def _verify(
     return [(group.ids[item], value, start, width, bits) for item, (value, start, bits) in best.items()]
 
 
-def indexes(benchmark: DataFrame, key: str = "item_id", text: str = "text", block_chars: int = BLOCK_CHARS):
+def indexes(benchmark: DataFrame, key: str = "item_id", text: str = "text", block_chars: int = BLOCK_CHARS, named: bool = True):
     """Indexes of all items, one block of bounded size at a time.
 
-    Rows with a NULL key, and NULL or empty texts, cannot be reported and are left
-    out. The number of blocks follows the measured size of the benchmark.
+    NULL or empty texts are left out, and so are rows with a NULL key, which cannot
+    be reported, unless ``named`` is false; then all items count as item 0. The
+    number of blocks follows the measured size of the benchmark.
     """
-    items = benchmark.select(F.col(key).cast("bigint").alias("item"), text_or_empty(F.col(text)).alias("text")).where(
+    item = F.col(key).cast("bigint")
+    items = benchmark.select((item if named else F.lit(0).cast("bigint")).alias("item"), text_or_empty(F.col(text)).alias("text")).where(
         F.col("item").isNotNull())
     chars = items.agg(F.coalesce(F.sum(F.length("text") + 20), F.lit(0))).first()[0]
     blocks = -(-chars // block_chars)
@@ -241,11 +243,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 
 
 def cleaned(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The rows, with all columns, in which no item was found."""
+    """The rows, with all columns, in which no item was found, whether it has a key or none."""
 
     def opened(index: Index):
         return lambda: lambda texts: [not search(t or "", index) for t in texts]
 
-    for index in indexes(benchmark):
+    for index in indexes(benchmark, named=False):
         docs = filter_batches(docs, opened(index), text)
     return docs
