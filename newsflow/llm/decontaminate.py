@@ -209,7 +209,7 @@ def indexes(benchmark: DataFrame, key: str = "item_id", text: str = "text", bloc
     chars = items.agg(F.coalesce(F.sum(F.length("text") + 20), F.lit(0))).first()[0]
     blocks = -(-chars // block_chars)
     for block in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
+        part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
         yield build_index([(r["item"], r["text"]) for r in part.orderBy("item", "text").collect()])
 
 
