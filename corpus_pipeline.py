@@ -1,4 +1,4 @@
-"""The corpus pipeline: language ID, exact and near deduplication, decontamination, encoding.
+"""The corpus pipeline: language ID, exact and SimHash deduplication, decontamination, encoding.
 
 Each stage takes ``(spark, docs, sf_dir)``. All but the last return the columns
 of ``documents``; ``run`` writes every stage as Parquet in the shared folder and
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsflow.llm import bpe, decontaminate, exact_dedup, language_id, near_copies
+from newsflow.llm import bpe, decontaminate, exact_dedup, language_id, simhash_dedup
 from newsflow.llm.common import materialised, table
 from newsflow.llm.queries import vocabulary
 
@@ -26,11 +26,12 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near copies, similar by 0.8 in their five-word shingles, the row with the smallest ``doc_id`` stays.
+    """One document of each SimHash component stays, that with the smallest ``doc_id``.
 
-    The 3-bit contract of the op8 query finds few of them, so the stage compares the shingles themselves.
+    Fingerprints of 3-word shingles link at 3 or fewer differing bits, as the
+    SimHash operator's contract sets; the bit distance alone decides.
     """
-    return near_copies.first_of_each(docs)
+    return simhash_dedup.first_of_each(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

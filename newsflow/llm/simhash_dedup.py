@@ -291,9 +291,19 @@ def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     A row is known by its key and its text. Of several texts under the smallest
     key one stays, and so does one text of a component without any key. Rows
     repeated with one key and one text cannot be told apart and stay or go together.
+    Other columns, whatever their names, pass untouched.
     """
     gone = classified(docs, key, text).where(~F.col("first"))
+    dropped_key, dropped_body = (_unused(docs.columns, name) for name in ("_dropped", "_body"))
     dropped = materialised(
-        gone.select(F.col("doc_id").alias("_dropped"), F.col("body").alias("_body")).distinct(), "simhash-dropped")
-    same = F.col(key).eqNullSafe(F.col("_dropped")) & (F.xxhash64(F.col(text)) == F.col("_body"))
+        gone.select(F.col("doc_id").alias(dropped_key), F.col("body").alias(dropped_body)).distinct(), "simhash-dropped")
+    same = docs[key].eqNullSafe(dropped[dropped_key]) & (F.xxhash64(docs[text]) == dropped[dropped_body])
     return docs.join(dropped, same, "left_anti")
+
+
+def _unused(columns: list[str], name: str) -> str:
+    """``name``, with underscores before it until no column of ``columns`` has it, in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -23,7 +23,7 @@ TEXTS = [
     (5, " \n\t "), (6, LONG), (7, LONG + "x"), (8, "1234 !! ² Ⅷ"), (9, "Été <|endoftext|> Σίσυφος ΟΔΟΣ İ K 😀 e\u0301"),
     (10, "A\x0bB\x0cC\x1cD\u00a0E"), (0, None), (9, "another text under the same key"),
 ]
-CLASH = ["_text", "_hash", "_key", "fp", "variant", "keep_id", "score", "component_id", "node", "root", "_host", "language", "kept"]
+CLASH = ["_text", "_hash", "_key", "fp", "variant", "keep_id", "score", "component_id", "node", "root", "_host", "language", "kept", "_dropped", "_body", "body", "first", "least", "keeper"]
 
 
 def rows(spark, data, schema="doc_id bigint, text string"):
