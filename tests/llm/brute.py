@@ -126,3 +126,41 @@ def leaks(rows, items, shingle=5, least=0.8):
 
 def held_out(doc_id):
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 4 == 2
+
+
+def spelling(rows):
+    """word -> (form, root, n, n_near, form_n) by comparing every pair of words."""
+    counts = {}
+    for i, t in rows:
+        for run in re.findall(r"[A-Za-zÀ-ÿ]+", t or ""):
+            w = run.translate(LOWER)
+            if i is not None:
+                h = zlib.crc32(f"{i}:{w}".encode())
+                if h % 199 == 0:
+                    at = h % len(w)
+                    w = w[:at] + w[at + 1:]
+            if len(w) >= 6:
+                counts[w] = counts.get(w, 0) + 1
+    words = {w: n for w, n in counts.items() if n >= 5}
+
+    def near(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        if len(a) > len(b):
+            a, b = b, a
+        return len(b) == len(a) + 1 and any(b[:k] + b[k + 1:] == a for k in range(len(b)))
+
+    form = {}
+    out = {}
+    for w, n in words.items():
+        close = [v for v in words if v != w and near(w, v)]
+        best = min(close, key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= 5 * n else None
+        out[w] = [n, len(close), words[form[w]] if form[w] else None]
+    result = {}
+    for w, (n, n_near, form_n) in out.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        result[w] = (form[w], root, n, n_near, form_n)
+    return result

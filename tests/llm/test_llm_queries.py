@@ -30,7 +30,7 @@ def test_matches_sql(spark, duck, name):
 
 def test_all_are_registered():
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_html_extraction(spark):
