@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow.llm import (
-    bpe, chat, decontaminate, exact_dedup, html_extract, language_id, license_scan, pii, simhash_dedup, spelling,
-    url_filters,
+    bpe, chat, decontaminate, exact_dedup, html_extract, language_id, license_scan, mixing, pii, simhash_dedup,
+    spelling, url_filters,
 )
 from newsflow.llm.common import table
 
@@ -84,10 +84,15 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_url_filters, op2_pii_surrogates, op3_exact_dedup, op4_html_extraction, op5_license_scan, op6_language_id,
         op7_chat_format, op8_simhash_dedup, op9_decontamination, op10_bpe, op11_spelling_variants,
+        op13_source_mixing,
     )
 }
 

@@ -164,3 +164,37 @@ def spelling(rows):
             root = form[root]
         result[w] = (form[w], root, n, n_near, form_n)
     return result
+
+
+def mixing(rows, targets, block_of=lambda doc_id: 0):
+    """doc_id -> (size, source_size, target, taken) with carried rounding, for the rows (doc_id, text, source)."""
+    import math
+
+    sizes = {}
+    sized = []
+    for i, t, s in rows:
+        n = len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+        sizes[s] = sizes.get(s, 0) + n
+        sized.append((i, s, n))
+    goal = targets(sizes)
+    rate = {s: goal[s] / sizes[s] if sizes[s] else 0.0 for s in sizes}
+    out = []
+    groups = {}
+    for i, s, n in sized:
+        groups.setdefault((s, block_of(i)), []).append((i, n))
+    for (s, _), members in groups.items():
+        def order(m):
+            if m[0] is None:
+                return (42, True, 0, m[1])
+            h = xxhash.xxh64_intdigest(m[0].to_bytes(8, "little", signed=True), 42)
+            return (h - (1 << 64) if h >= 1 << 63 else h, False, m[0], m[1])
+
+        members.sort(key=order)
+        base = min(math.floor(rate[s]), 3)
+        owed = 0.0
+        for i, n in members:
+            owed += (rate[s] - base) * n
+            extra = 1 if base < 3 and n > 0 and owed >= n / 2 else 0
+            owed -= extra * n
+            out.append((i, n, sizes[s], goal[s], (base + extra) * n))
+    return out

@@ -64,3 +64,57 @@ def test_permuterm_keys_find_every_edit():
     assert cut("colour") & cut("coluur")
     assert cut("colour") & whole("color")
     assert not cut("colour") & cut("clour") and not cut("colour") & cut("coulor")
+
+
+def test_mixing_query_matches_brute_force(spark):
+    from newsflow.llm import mixing
+
+    rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "source").collect()]
+    first = queries.op13_source_mixing(spark, SMALL)
+    got = sorted(tuple(r) for r in first.select("doc_id", "size", "source_size", "target", "taken").collect())
+    assert got == sorted(brute.mixing(rows, mixing.targets))
+    again = sorted(tuple(r) for r in queries.op13_source_mixing(spark, SMALL).select("doc_id", "taken").collect())
+    assert again == [(g[0], g[4]) for g in got]
+
+
+def test_mixing_targets_share_all_words_and_stop_at_three_times():
+    from newsflow.llm import mixing
+
+    goal = mixing.targets({"b": 100, "a": 10, None: 1000, "c": 0})
+    # a, b, c, NULL weigh 5, 2, 1, 5; a and c stop at 3 times their size; of the rest b's share,
+    # 1080 * 2 / 7, is above 300 in turn, and NULL takes what is left.
+    assert goal["a"] == 30 and goal["c"] == 0 and goal["b"] == 300 and goal[None] == 780
+    assert sum(goal.values()) == pytest.approx(1110)
+    assert mixing.targets({}) == {} and mixing.targets({"x": 0}) == {"x": 0.0}
+
+
+def test_mixing_on_odd_rows(spark):
+    from newsflow.llm import mixing
+
+    long = "word " * 200_000
+    data = [(1, "a b c", "s1"), (2, None, "s1"), (None, "x y", "s1"), (None, "x y", "s1"), (3, "", None),
+            (4, "p q r s", None), (5, long, "s2"), (5, long, "s2"), (6, "\t\n ", "s2"), (7, "one", "s3")]
+    docs = with_clashes(spark.createDataFrame(data, "doc_id bigint, text string, source string")).repartition(3)
+    got = mixing.mix(docs).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["taken"]) for r in got) == sorted(
+        (i is None, i or 0, k) for i, _, _, _, k in brute.mixing(data, mixing.targets))
+    assert all(0 <= r["copies"] <= 3 and r["taken"] == r["copies"] * r["size"] for r in got)
+    assert mixing.mix(docs.where("false")).count() == 0
+
+
+def test_mixing_splits_a_large_source_into_blocks(spark, monkeypatch):
+    from newsflow.llm import mixing
+
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 7)
+    data = [(i, "w " * (1 + i % 13), "hot" if i % 3 else f"s{i % 2}") for i in range(120)]
+    got = mixing.mix(spark.createDataFrame(data, "doc_id bigint, text string, source string")).collect()
+    sizes = {}
+    for _, t, s in data:
+        sizes[s] = sizes.get(s, 0) + len(t.split())
+    goal = mixing.targets(sizes)
+    taken = {}
+    for r in got:
+        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+    blocks = {s: -(-sum(1 for d in data if d[2] == s) // 7) for s in sizes}
+    for s in sizes:
+        assert abs(taken[s] - goal[s]) <= blocks[s] * 13 / 2
