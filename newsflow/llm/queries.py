@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow.llm import (
-    bpe, chat, decontaminate, exact_dedup, html_extract, language_id, license_scan, mixing, pii, simhash_dedup,
+    bpe, chat, decontaminate, exact_dedup, html_extract, language_id, lexical_search, license_scan, mixing, pii, simhash_dedup,
     spelling, url_filters,
 )
 from newsflow.llm.common import table
@@ -84,6 +84,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -92,7 +96,7 @@ QUERIES = {
     f.__name__: f for f in (
         op1_url_filters, op2_pii_surrogates, op3_exact_dedup, op4_html_extraction, op5_license_scan, op6_language_id,
         op7_chat_format, op8_simhash_dedup, op9_decontamination, op10_bpe, op11_spelling_variants,
-        op13_source_mixing,
+        op12_lexical_search, op13_source_mixing,
     )
 }
 
@@ -163,4 +167,35 @@ FROM worded JOIN base USING (row_no) LEFT JOIN found USING (row_no)
 """
 
 
-ORACLE = {"op1_url_filters": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op5_license_scan": _license_sql()}
+OP12_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{lexical_search.TERM}') AS t
+  FROM documents
+), g AS (SELECT count(*)::BIGINT AS big_n, sum(len(t))::BIGINT AS big_l FROM d WHERE len(t) > 0
+), tf AS (
+  SELECT r, doc_id, len(t)::BIGINT AS n, term, count(*)::BIGINT AS tf
+  FROM (SELECT r, doc_id, t, unnest(t) AS term FROM d WHERE len(t) > 0) GROUP BY r, doc_id, t, term
+), w AS (
+  SELECT term, floor(1000 * ln((2.0 * big_n + 2) / (2.0 * count(*) + 1)))::BIGINT AS w FROM tf, g GROUP BY term, big_n
+), s AS (
+  SELECT r, doc_id, term, (1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * big_n) // big_l)) AS s FROM tf, g
+), q AS (
+  SELECT i, item_id, term, count(*)::BIGINT AS c
+  FROM (SELECT row_number() OVER () AS i, item_id,
+          unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{lexical_search.TERM}')) AS term
+        FROM benchmark)
+  GROUP BY i, item_id, term
+), scored AS (
+  SELECT i, item_id, r, doc_id, sum(w * c * s)::BIGINT AS score FROM q JOIN w USING (term) JOIN s USING (term)
+  GROUP BY i, item_id, r, doc_id
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM scored WHERE score > 0
+) WHERE rank <= {lexical_search.TOP}
+"""
+
+ORACLE = {
+    "op1_url_filters": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op5_license_scan": _license_sql(),
+    "op12_lexical_search": OP12_SQL,
+}

@@ -198,3 +198,33 @@ def mixing(rows, targets, block_of=lambda doc_id: 0):
             owed -= extra * n
             out.append((i, n, sizes[s], goal[s], (base + extra) * n))
     return out
+
+
+def lexical_search(docs, items, top=10):
+    """(item_id, rank, doc_id, score) by scoring every document for every item."""
+    import math
+
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    rows = [(i, term.findall((t or "").translate(LOWER))) for i, t in docs]
+    rows = [(i, ts) for i, ts in rows if ts]
+    big_n, big_l = len(rows), sum(len(ts) for _, ts in rows)
+    df = {}
+    for _, ts in rows:
+        for t in set(ts):
+            df[t] = df.get(t, 0) + 1
+    w = {t: math.floor(1000 * math.log((2 * big_n + 2) / (2 * d + 1))) for t, d in df.items()}
+    vectors = []
+    for i, ts in rows:
+        m = 25 + (75 * len(ts) * big_n) // big_l
+        tf = {}
+        for t in ts:
+            tf[t] = tf.get(t, 0) + 1
+        vectors.append((i, {t: (10 ** 9 * f) // (1000 * f + 8 * m) for t, f in tf.items()}))
+    out = []
+    for item, text in items:
+        q = term.findall((text or "").translate(LOWER))
+        scored = [(sum(w.get(t, 0) * v.get(t, 0) for t in q), i) for i, v in vectors]
+        scored = [(s, i) for s, i in scored if s > 0]
+        scored.sort(key=lambda p: (-p[0], p[1] is None, p[1] or 0))
+        out.extend((item, r + 1, i, s) for r, (s, i) in enumerate(scored[:top]))
+    return out

@@ -118,3 +118,54 @@ def test_mixing_splits_a_large_source_into_blocks(spark, monkeypatch):
     blocks = {s: -(-sum(1 for d in data if d[2] == s) // 7) for s in sizes}
     for s in sizes:
         assert abs(taken[s] - goal[s]) <= blocks[s] * 13 / 2
+
+
+def test_search_on_odd_rows(spark):
+    from newsflow.llm import lexical_search
+
+    docs = [(1, "apple banana apple"), (2, "banana cherry"), (3, "cherry date egg"), (4, "apple"), (4, "apple"),
+            (None, "apple apple"), (5, None), (6, ""), (7, "!!! 123"), (8, "Apple BANANA " * 5_000), (0, "egg")]
+    items = [(10, "apple cherry"), (11, "banana banana"), (12, None), (13, "zebra"), (10, "egg"), (None, "date")]
+    d = with_clashes(spark.createDataFrame(docs, "doc_id bigint, text string")).repartition(3)
+    q = with_clashes(spark.createDataFrame(items, "item_id bigint, text string")).repartition(2)
+    got = [tuple(r) for r in lexical_search.search(d, q).collect()]
+    want = []
+    for item, text in items:
+        want += [(item, rank, doc, score) for _, rank, doc, score in brute.lexical_search(docs, [(item, text)])]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert lexical_search.search(d.where("false"), q).count() == 0
+    assert lexical_search.search(d, q.where("false")).count() == 0
+
+
+def test_ball_tree_is_exact_and_prunes(monkeypatch):
+    """Random sparse vectors in deep trees: the ten best of brute force, and most leaves never opened."""
+    import numpy as np
+
+    from newsflow.llm import lexical_search
+
+    monkeypatch.setattr(lexical_search, "LEAF", 4)
+    rng = np.random.default_rng(7)
+    width, docs = 300, 600
+    rows = [np.unique(rng.integers(0, width, rng.integers(1, 30))) for _ in range(docs)]
+    # Planted near copies of one document, which its query should find first.
+    rows[:20] = [rows[0]] * 20
+    data = [rng.integers(1, 10**6, len(r)) for r in rows]
+    indptr = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    tree = lexical_search.BallTree(indptr, np.concatenate(rows), np.concatenate(data).astype(np.int64), width)
+    keys, order = rng.permutation(docs).astype(np.int64), np.arange(docs)
+    dense = np.zeros((docs, width), dtype=np.int64)
+    for i, (r, v) in enumerate(zip(rows, data)):
+        dense[i, r] = v
+    opened = []
+    real = tree._entries
+    monkeypatch.setattr(tree, "_entries", lambda m: opened.append(len(m)) or real(m))
+    for _ in range(30):
+        q_idx = np.unique(rng.integers(0, width, 12))
+        q_val = rng.integers(1, 30_000, len(q_idx))
+        scores = dense[:, q_idx] @ q_val
+        want = sorted((i for i in range(docs) if scores[i] > 0), key=lambda i: (-scores[i], keys[i]))[:10]
+        assert [m for _, m in tree.search(q_idx, q_val, keys, order)] == want
+    q_idx = rows[0]
+    opened.clear()
+    tree.search(q_idx, np.full(len(q_idx), 30_000), keys, order)
+    assert sum(opened) < docs / 2
