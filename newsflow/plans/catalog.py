@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from newsflow import schemas
 from newsflow.functions import dates, messages, text
-from newsflow.operators import annotate, coding, extract, maintain, monitor
+from newsflow.operators import annotate, coding, extract, maintain, monitor, store
 from newsflow.operators.joins import join_unique
 from newsflow.session import shared_folder
 from newsflow.sinks import documents, xml
@@ -422,6 +422,18 @@ def merge_annotations(spark, sf_dir):
     return maintain.merge_annotations(s, _stored(spark, sf_dir))
 
 
+def merge_stored(spark, sf_dir):
+    """The stories kept as a bucketed store and updated in place twice: even sequence numbers, then all."""
+    path = shared_folder(spark, "store")
+    s = stories(spark, sf_dir).select(
+        "doc_key", "doc_id", "article_body", F.lit(None).cast("string").alias("corenlp_output"))
+    store.create(s, path)
+    updates = _stored(spark, sf_dir)
+    store.update(spark, path, updates.where("ingest_seq % 2 = 0"), "corenlp_output")
+    store.update(spark, path, updates, "corenlp_output")
+    return store.read(spark, path).select("doc_key", "doc_id", "article_body", "corenlp_output")
+
+
 def shuffled_cap(spark, sf_dir):
     s = stories(spark, sf_dir).select("ingest_seq", "doc_id", "article_body")
     rank = F.pmod(F.col("ingest_seq") * 7919, F.lit(10007))
@@ -588,7 +600,8 @@ QUERIES: dict[str, Query] = {
         split_sentences, split_turns, tokens, annotated_documents, explode_sentences,
         code_actors, code_verbs, phrases_by_doc, phrases_by_sentence, sentence_outcomes,
         first_event, flatten_events, code_actors_large, annotate_hook, code_hook, stored_events_meta, noun_pairs,
-        recent_ids, newest_first, skip_processed, skip_all_processed, merge_annotations, merge_hot, shuffled_cap,
+        recent_ids, newest_first, skip_processed, skip_all_processed, merge_annotations, merge_hot, merge_stored,
+        shuffled_cap,
         batch_stats, batch_averages, progress,
         corpus_files, corpus_spellings, message_files, message_dialects, phrases_inserted, stories_inserted, rows_published,
         xml_files, coded_files, stream_annotate, stream_stats, stream_restart,

@@ -374,6 +374,7 @@ FROM sizes""",
 ORACLE["corpus_files"] = ORACLE["extract_articles"]
 ORACLE["xml_files"] = ORACLE["xml_articles"]
 ORACLE["coded_files"] = ORACLE["sentence_outcomes"]
+ORACLE["merge_stored"] = ORACLE["merge_annotations"]
 ORACLE["stream_annotate"] = ORACLE["annotated_documents"]
 ORACLE["message_files"] = _with(_STORIES) + """
 SELECT doc_key, doc_id, date, article_body, CAST(NULL AS VARCHAR) AS error FROM stories"""
