@@ -26,6 +26,8 @@ LAST_YEAR = 2016
 FIRST = 500
 CAP = 500
 EXPORT_LANGUAGE = "ENG"
+# How long the stream remembers a delivered key.
+REPLAY_EXPIRY = "1 day"
 ACTORS = {
     "the": "DET", "of": "OFX", "and": "AND", "of the": "OFTHE", "and the": "ANDTHE",
     "in": "INX", "de": "DEX", "la": "LAX", "der": "DER", "die": "DIE", "de la": "DELA",
@@ -576,6 +578,23 @@ def stream_restart(spark, sf_dir):
     return annotate.to_stored(streaming.read_annotated(spark, f"{folder}/out"))
 
 
+def stream_replay(spark, sf_dir):
+    """All messages, then two redeliveries of parts of them in new files, each run restarted from the checkpoint.
+
+    The state store of the stream drops the copies: each document is stored once.
+    """
+    folder = shared_folder(spark, "replay")
+    s = stories(spark, sf_dir).select("ingest_seq", "doc_key", "doc_id", "publication_date", "article_body")
+    value = messages.story_message(s.drop("ingest_seq"), key="doc_key").alias("value")
+    for part in (s, s.where("ingest_seq % 2 = 0"), s.where("ingest_seq % 3 = 0").union(s.where("ingest_seq % 3 = 0"))):
+        part.select(value).repartition(3).write.mode("append").text(f"{folder}/queue")
+        incoming = stream_messages(spark, f"{folder}/queue", files_per_trigger=2, arrival=True)
+        streaming.stream_annotate(
+            incoming, f"{folder}/out", f"{folder}/checkpoint", every=None, expiry=REPLAY_EXPIRY,
+        ).awaitTermination()
+    return annotate.to_stored(streaming.read_annotated(spark, f"{folder}/out"))
+
+
 def stream_annotate(spark, sf_dir):
     """The documents as a message stream, annotated by the streaming job."""
     stored = streaming.read_annotated(spark, _run_stream(spark, sf_dir))
@@ -604,6 +623,6 @@ QUERIES: dict[str, Query] = {
         shuffled_cap,
         batch_stats, batch_averages, progress,
         corpus_files, corpus_spellings, message_files, message_dialects, phrases_inserted, stories_inserted, rows_published,
-        xml_files, coded_files, stream_annotate, stream_stats, stream_restart,
+        xml_files, coded_files, stream_annotate, stream_stats, stream_restart, stream_replay,
     )
 }

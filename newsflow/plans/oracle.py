@@ -387,6 +387,7 @@ ORACLE["code_actors_large"] = ORACLE["code_actors"]
 ORACLE["stories_inserted"] = ORACLE["story_record"]
 ORACLE["rows_published"] = ORACLE["publish_row_array"]
 ORACLE["stream_restart"] = ORACLE["annotated_documents"]
+ORACLE["stream_replay"] = ORACLE["annotated_documents"]
 ORACLE["phrases_inserted"] = f"SELECT doc_id, phrases FROM ({ORACLE['phrases_by_doc']})"
 ORACLE["message_dialects"] = _with(_STORIES) + """
 SELECT ingest_seq, CASE WHEN ingest_seq % 11 <> 0 THEN doc_id END AS doc_key,

@@ -13,18 +13,23 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
 
 def stream_messages(
     spark: SparkSession, path: str | None = None, files_per_trigger: int | None = None,
-    kafka: dict[str, str] | None = None, offsets_per_trigger: int | None = None,
+    kafka: dict[str, str] | None = None, offsets_per_trigger: int | None = None, arrival: bool = False,
 ) -> DataFrame:
     """A stream of messages as ``value``: new files of a folder, or a Kafka topic.
 
-    The per-trigger bounds play the part of the worker's batch size.
+    The per-trigger bounds play the part of the worker's batch size. With
+    ``arrival``, a timestamp ``arrival`` is added: the record's time in Kafka,
+    or the modification time of the file that brought the message.
     """
     if kafka is not None:
         reader = spark.readStream.format("kafka").options(**kafka)
         if offsets_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", offsets_per_trigger)
-        return reader.load().select(F.col("value").cast("string").alias("value"))
+        loaded = reader.load()
+        return loaded.select(F.col("value").cast("string").alias("value"), *(
+            [F.col("timestamp").alias("arrival")] if arrival else []))
     reader = spark.readStream.format("text")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(path).select("value")
+    loaded = reader.load(path)
+    return loaded.select("value", *([F.col("_metadata.file_modification_time").alias("arrival")] if arrival else []))

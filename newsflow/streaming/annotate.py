@@ -40,27 +40,46 @@ def stream_annotate(
     out: str,
     checkpoint: str,
     annotator: annotate.Annotator | None = None,
-    look_back: int | None = 200,
+    look_back: int | None = None,
     every: str | None = "60 seconds",
+    expiry: str | None = None,
 ) -> StreamingQuery:
     """Annotate a stream of messages (``value``).
 
-    A message whose key is among the ``look_back`` most recently stored documents
-    is skipped as a redelivery; ``None`` looks at the whole store. With
-    ``every=None`` everything available is processed and the query ends;
-    otherwise a micro-batch starts at that interval, however few messages wait.
+    Redeliveries are dropped in one of two ways. With ``expiry`` (a delay such
+    as ``"1 day"``; the stream needs an ``arrival`` timestamp) the streaming
+    state store remembers every key until the watermark of arrivals has passed
+    it by ``expiry``; within that time a key is stored once, in whichever batch
+    and order its copies come, and the state stays bounded by the keys of one
+    expiry. Without it, a message whose key is among the ``look_back`` most
+    recently stored documents is skipped; ``None``, the default, looks at the
+    whole store. With ``every=None`` everything available is processed and the
+    query ends; otherwise a micro-batch starts at that interval.
     """
     def process(batch: DataFrame, batch_id: int) -> None:
-        _process(batch, batch_id, out, annotator, look_back)
+        _process(batch.select("value"), batch_id, out, annotator, None if expiry else look_back, expiry is None)
 
+    if expiry is not None:
+        incoming = first_deliveries(incoming, expiry)
     writer = incoming.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
     return writer.start()
 
 
+def first_deliveries(incoming: DataFrame, expiry: str) -> DataFrame:
+    """The first delivery of each message key within ``expiry`` of the watermark of arrivals.
+
+    The key is the document's; a message without one is known by its text, so
+    that a bad message sent twice is quarantined once.
+    """
+    key = messages.decode(incoming).select(
+        "value", "arrival", F.coalesce(F.col("doc_key"), F.sha2(F.col("value"), 256)).alias("_delivery"))
+    return key.withWatermark("arrival", expiry).dropDuplicatesWithinWatermark(["_delivery"])
+
+
 def _process(
     batch: DataFrame, batch_id: int, out: str,
-    annotator: annotate.Annotator | None, look_back: int | None,
+    annotator: annotate.Annotator | None, look_back: int | None, look: bool = True,
 ) -> None:
     started = time.monotonic()
     spark = batch.sparkSession
@@ -71,7 +90,7 @@ def _process(
             f"{out}/quarantine", batch_id,
         )
         good = decoded.where(F.col("error").isNull())
-        stored = _recently_stored(spark, f"{out}/annotated", batch_id, look_back)
+        stored = _recently_stored(spark, f"{out}/annotated", batch_id, look_back) if look else None
         fresh = good if stored is None else maintain.skip_processed(good, stored, look_back, seq="batch_id")
         write_batch(annotate.annotate(fresh, annotator), f"{out}/annotated", batch_id)
         written = spark.read.schema(schemas.ANNOTATED).parquet(f"{out}/annotated/batch_id={batch_id}")

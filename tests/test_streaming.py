@@ -102,3 +102,46 @@ def test_timed_trigger_flushes_what_waits(spark, tmp_path):
     finally:
         query.stop()
     assert keys_of(job.read_annotated(spark, str(tmp_path / "out"))) == list("abc")
+
+
+def run_with_state(spark, tmp_path, expiry="1 day"):
+    stream = stream_messages(spark, str(tmp_path / "in"), files_per_trigger=1, arrival=True)
+    query = job.stream_annotate(stream, str(tmp_path / "out"), str(tmp_path / "ck"), every=None, expiry=expiry)
+    query.awaitTermination()
+    return job.read_annotated(spark, str(tmp_path / "out")), query
+
+
+def arrived(folder, name, seconds):
+    import os
+
+    os.utime(folder / name, (seconds, seconds))
+
+
+def test_state_store_keeps_each_key_once_in_and_across_batches(spark, tmp_path):
+    publish(tmp_path / "in", "1.txt", "abca", extra=["{broken", "{broken"])
+    stored, _ = run_with_state(spark, tmp_path)
+    assert keys_of(stored) == list("abc")
+    assert len(job.read_quarantine(spark, str(tmp_path / "out")).collect()) == 1
+    publish(tmp_path / "in", "2.txt", "bcd")
+    publish(tmp_path / "in", "3.txt", "ad")
+    stored, _ = run_with_state(spark, tmp_path)
+    assert keys_of(stored) == list("abcd")
+
+
+def test_state_is_bounded_by_the_expiry(spark, tmp_path):
+    """Keys older than the expiry behind the watermark leave the state; a copy after that is stored again."""
+    day = 86_400
+    publish(tmp_path / "in", "1.txt", "ab")
+    arrived(tmp_path / "in", "1.txt", 10 * day)
+    run_with_state(spark, tmp_path)
+    publish(tmp_path / "in", "2.txt", "c")
+    arrived(tmp_path / "in", "2.txt", 13 * day)
+    publish(tmp_path / "in", "3.txt", "d")
+    arrived(tmp_path / "in", "3.txt", 13 * day)
+    _, query = run_with_state(spark, tmp_path)
+    state = [op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]]
+    assert state and state[-1] <= 2
+    publish(tmp_path / "in", "4.txt", "ac")
+    arrived(tmp_path / "in", "4.txt", 13 * day)
+    stored, _ = run_with_state(spark, tmp_path)
+    assert keys_of(stored) == list("aabcd")
