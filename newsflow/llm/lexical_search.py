@@ -35,10 +35,10 @@ TOP = 10
 SCALE = 1_000_000_000
 
 # Documents per shard and queries per block: what one task holds.
-SHARD_DOCS = 50_000
+SHARD_DOCS = 8_000
 BLOCK_QUERIES = 2_000
 # Documents in a leaf of the tree.
-LEAF = 32
+LEAF = 128
 # Relative and absolute widening of a floating-point bound; rounding errors are far below.
 MARGIN = 1e-7
 
@@ -48,26 +48,30 @@ def terms(text):
 
 
 def document_vectors(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, int]:
-    """``row, doc_id, idx (terms), val (scores)`` per document with a term; term weights ``term, w``; and N.
+    """``row, doc_id, n, idx (distinct terms, sorted), tf``; term weights ``term, w``; and N.
 
+    Term frequencies are counted inside each document by sorting its terms and
+    measuring the runs, on the map side: no term of a document is shuffled.
     ``row`` tells repeated rows apart; it is fixed once written.
     """
-    rows = materialised(
-        docs.select(F.col(key).alias("doc_id"), terms(F.col(text)).alias("terms")).where(F.size("terms") > 0)
-        .withColumn("row", F.monotonically_increasing_id()), "search-rows")
-    totals = rows.agg(F.count("*").alias("big_n"), F.sum(F.size("terms")).alias("big_l")).first()
+    terms_of = docs.select(F.col(key).alias("doc_id"), terms(F.col(text)).alias("t")).where(F.size("t") > 0)
+    sorted_terms = F.array_sort("t")
+    starts = F.filter(F.sequence(F.lit(1), F.size("t")),
+                      lambda i: F.when(i == 1, F.lit(True)).otherwise(F.element_at("t", i) != F.element_at("t", i - 1)))
+    counted = terms_of.select("doc_id", sorted_terms.alias("t")).select(
+        "doc_id", "t", starts.alias("starts")).select(
+        "doc_id", F.size("t").cast("bigint").alias("n"),
+        F.transform("starts", lambda i: F.element_at("t", i)).alias("idx"),
+        F.transform("starts", lambda i, j: F.coalesce(
+            F.try_element_at("starts", (j + 2).cast("int")), F.size("t") + 1) - i).cast("array<bigint>").alias("tf"))
+    vectors = materialised(counted.withColumn("row", F.monotonically_increasing_id()), "search-vectors")
+    totals = vectors.agg(F.count("*").alias("big_n"), F.sum("n").alias("big_l")).first()
     big_n, big_l = int(totals["big_n"]), int(totals["big_l"] or 0)
-    counted = rows.select("row", "doc_id", F.size("terms").cast("bigint").alias("n"), F.explode("terms").alias("term")) \
-        .groupBy("row", "doc_id", "n", "term").agg(F.count("*").alias("tf"))
-    counted = materialised(counted, "search-tf")
-    weights = counted.groupBy("term").agg(F.count("*").alias("df")).select(
+    weights = vectors.select(F.explode("idx").alias("term")).groupBy("term").agg(F.count("*").alias("df")).select(
         "term", F.floor(1000 * F.log((2.0 * big_n + 2) / (2.0 * F.col("df") + 1))).cast("bigint").alias("w"))
     m = f"(CAST({100 - 75} AS BIGINT) + (75 * n * CAST({big_n} AS BIGINT)) div CAST({max(big_l, 1)} AS BIGINT))"
-    score = F.expr(f"(CAST({SCALE} AS BIGINT) * tf) div (1000 * tf + 8 * {m})")
-    vectors = counted.groupBy("row", "doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("term", score.alias("s")))).alias("entries")).select(
-        "row", "doc_id", F.col("entries.term").alias("idx"), F.col("entries.s").alias("val"))
-    return vectors, weights, big_n
+    scores = F.expr(f"transform(tf, f -> (CAST({SCALE} AS BIGINT) * f) div (1000 * f + 8 * {m}))")
+    return vectors.select("row", "doc_id", "idx", scores.alias("val")), weights, big_n
 
 
 def query_vectors(items: DataFrame, weights: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -90,7 +94,7 @@ class BallTree:
         self.norms = np.sqrt(np.add.reduceat(data.astype(float) ** 2, indptr[:-1])) if len(data) else np.zeros(0)
         self.norms[np.diff(indptr) == 0] = 0.0
         self.scratch = np.zeros(width)
-        self.nodes = []  # (centroid indices, centroid values, radius, children, members)
+        self.nodes = []  # (centroid indices, centroid values, radius, children, members, radius per term)
         self._build(np.arange(len(indptr) - 1))
 
     def _entries(self, members: np.ndarray):
@@ -111,6 +115,10 @@ class BallTree:
         cols, vals, _, _ = self._entries(members)
         idx, where = np.unique(cols, return_inverse=True)
         centre = np.bincount(where, weights=vals, minlength=len(idx)) / max(len(members), 1)
+        # The radius along each term: how far the farthest member lies above the centre there.
+        reach = np.zeros(len(idx))
+        np.maximum.at(reach, where, vals)
+        reach = np.maximum(reach - centre, 0.0)
         c_norm = float(centre @ centre)
         dist2 = self.norms[members] ** 2 - 2 * self._dots(members, idx, centre) + c_norm
         dist = np.sqrt(np.maximum(dist2, 0.0))
@@ -129,26 +137,44 @@ class BallTree:
             near_a = np.zeros(len(members), dtype=bool)
             near_a[np.argsort(to_a - to_b, kind="stable")[: len(members) // 2]] = True
             children, leaf = (self._build(members[near_a]), self._build(members[~near_a])), None
-        self.nodes[node] = (idx, centre, radius, children, leaf)
+        self.nodes[node] = (idx, centre, radius, children, leaf, reach)
         return node
 
     def _row(self, i: int):
         s, e = self.indptr[i], self.indptr[i + 1]
         return self.indices[s:e], self.data[s:e].astype(float)
 
+    def _centre_dots(self, node: int, q_idx: np.ndarray, q_val: np.ndarray) -> tuple[float, float]:
+        """``q . c`` and ``q . r``, the radius per term, over the query's terms only (the node's terms are sorted)."""
+        idx, centre, reach = self.nodes[node][0], self.nodes[node][1], self.nodes[node][5]
+        if not len(idx):
+            return 0.0, 0.0
+        at = np.minimum(np.searchsorted(idx, q_idx), len(idx) - 1)
+        hit = idx[at] == q_idx
+        return float(q_val[hit] @ centre[at[hit]]), float(q_val[hit] @ reach[at[hit]])
+
+    def leaf_scores(self, leaf: np.ndarray, q_int: np.ndarray) -> np.ndarray:
+        """Exact 64-bit scores of a leaf's members."""
+        cols, _, owner, take = self._entries(leaf)
+        scores = np.zeros(len(leaf), dtype=np.int64)
+        np.add.at(scores, owner, q_int[cols] * self.data[take])
+        return scores
+
     def search(self, q_idx: np.ndarray, q_val: np.ndarray, keys: np.ndarray, rows: np.ndarray, top: int = TOP):
         """The ``top`` members of highest positive score, ties by key then row, as ``(score, member)``."""
-        q = np.zeros(len(self.scratch))
-        q[q_idx] = q_val
+        q_float = q_val.astype(float)
         q_int = np.zeros(len(self.scratch), dtype=np.int64)
         q_int[q_idx] = q_val
-        q_norm = math.sqrt(float(np.dot(q_val.astype(float), q_val.astype(float))))
+        q_norm = math.sqrt(float(q_float @ q_float))
         best = []  # min-heap of (score, -key, -row, member): the worst of the best on top
 
         def bound(node):
-            idx, centre, radius, _, _ = self.nodes[node]
-            ub = float(q[idx] @ centre) + q_norm * radius
-            return ub + MARGIN * (abs(ub) + q_norm * radius) + 1.0
+            # No member scores more than the centre plus the radius: the ball's, |q| r, or that along
+            # the query's own terms, sum q_t r_t, whichever is smaller.
+            centre, along = self._centre_dots(node, q_idx, q_float)
+            spread = min(q_norm * self.nodes[node][2], along)
+            ub = centre + spread
+            return ub + MARGIN * (abs(centre) + spread) + 1.0
 
         frontier = [(-bound(0), 0)]
         while frontier:
@@ -156,18 +182,16 @@ class BallTree:
             floor = best[0][0] if len(best) == top else 1
             if -negative < floor:
                 break
-            _, _, _, children, leaf = self.nodes[node]
+            children, leaf = self.nodes[node][3], self.nodes[node][4]
             if leaf is None:
                 for child in children:
                     heapq.heappush(frontier, (-bound(child), child))
                 continue
-            cols, _, owner, take = self._entries(leaf)
-            scores = np.zeros(len(leaf), dtype=np.int64)
-            np.add.at(scores, owner, q_int[cols] * self.data[take])
-            for member, score in zip(leaf, scores.tolist()):
-                if score <= 0:
-                    continue
-                entry = (score, -int(keys[member]), -int(rows[member]), int(member))
+            scores = self.leaf_scores(leaf, q_int)
+            # Only members that can enter the ten best reach Python.
+            can = scores >= max(floor, 1)
+            for member, score in zip(leaf[can].tolist(), scores[can].tolist()):
+                entry = (score, -int(keys[member]), -int(rows[member]), member)
                 if len(best) < top:
                     heapq.heappush(best, entry)
                 elif entry > best[0]:
@@ -236,11 +260,11 @@ def search(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
     # NULL keys rank after every key; they go to Python as the largest key and come back as NULL.
     dealt = vectors.select(
         F.coalesce("doc_id", F.lit(2 ** 63 - 1)).alias("doc_id"), F.col("doc_id").isNull().alias("doc_unnamed"),
-        "row", "idx", "val", F.pmod(F.xxhash64("row"), F.lit(shards)).alias("shard"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+        "row", "idx", "val", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("bigint").alias("shard"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block"))
     asked = queries.select(
-        "query", "item_id", "unnamed", "idx", "val", F.pmod(F.xxhash64("query"), F.lit(blocks)).alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+        "query", "item_id", "unnamed", "idx", "val", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("bigint").alias("block"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))).alias("shard"))
     schema = "query bigint, item_id string, unnamed boolean, doc_id bigint, doc_unnamed boolean, row bigint, score bigint"
     found = dealt.select("shard", "block", "doc_id", "doc_unnamed", "row", "idx", "val").groupBy("shard", "block") \
         .cogroup(asked.groupBy("shard", "block")).applyInPandas(_search_shard, schema)

@@ -157,8 +157,8 @@ def test_ball_tree_is_exact_and_prunes(monkeypatch):
     for i, (r, v) in enumerate(zip(rows, data)):
         dense[i, r] = v
     opened = []
-    real = tree._entries
-    monkeypatch.setattr(tree, "_entries", lambda m: opened.append(len(m)) or real(m))
+    real = tree.leaf_scores
+    monkeypatch.setattr(tree, "leaf_scores", lambda m, q: opened.append(len(m)) or real(m, q))
     for _ in range(30):
         q_idx = np.unique(rng.integers(0, width, 12))
         q_val = rng.integers(1, 30_000, len(q_idx))
