@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from newsflow.functions import dates
 from newsflow.operators.joins import join_unique
+from newsflow.session import shared_folder
 
 # Key lists up to this many rows are broadcast; longer ones are joined by shuffle.
 BROADCAST_KEYS = 100_000
@@ -22,8 +24,41 @@ def recent_ids(stored: DataFrame, n: int, key: str = "doc_key", seq: str = "inge
 
 
 def newest_first(stored: DataFrame, key: str = "doc_key", seq: str = "ingest_seq") -> DataFrame:
-    """The whole store, newest first: a range-partitioned sort."""
-    return stored.orderBy(F.desc(seq), F.desc(key))
+    """The whole store, newest first, with each row's place in that order as ``rank`` (from 1)."""
+    order = [F.desc(seq), F.desc(key)]
+    return ranked(stored, order).orderBy(*order)
+
+
+def ranked(df: DataFrame, order: list[Column], name: str = "rank", partitions: int | None = None) -> DataFrame:
+    """``df`` with each row's place in ``order`` (from 1) as ``name``, without a window over one task.
+
+    The rows are range-partitioned by ``order`` and written once, so that the
+    cut does not move between the two passes. Rows per partition are counted
+    (one number per partition reaches the driver); a partition's offset is the
+    sum of the counts before it, and a row's rank is that offset plus its place
+    inside its partition, numbered by a window partitioned by the partition.
+    Rows equal in ``order`` share a partition and get distinct ranks in an
+    arbitrary but written order.
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = materialised(
+        df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), "ranked")
+    counts = {r["_part"]: r["count"] for r in parts.groupBy("_part").count().collect()}
+    offsets, total = [], 0
+    for part in sorted(counts):
+        offsets.append((part, total))
+        total += counts[part]
+    offset = spark.createDataFrame(offsets or [(0, 0)], "_part int, _offset bigint")
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return parts.join(F.broadcast(offset), "_part").withColumn(name, F.col("_offset") + place).drop("_part", "_offset")
+
+
+def materialised(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def mark_processed(

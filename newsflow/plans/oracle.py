@@ -410,7 +410,9 @@ ORACLE["noun_pairs"] = _with(*_CODING) + """
 SELECT doc_key, sen_id, string_agg(phrase, '|' ORDER BY start) AS nouns, string_agg(code, '|' ORDER BY start) AS noun_coding
 FROM actors GROUP BY doc_key, sen_id"""
 ORACLE["newest_first"] = _with(_STORED) + """
-SELECT doc_key, ingest_seq, CAST(corenlp_output AS VARCHAR) AS corenlp_output FROM stored ORDER BY ingest_seq DESC, doc_key DESC"""
+SELECT doc_key, ingest_seq, CAST(corenlp_output AS VARCHAR) AS corenlp_output,
+  row_number() OVER (ORDER BY ingest_seq DESC, doc_key DESC) AS rank
+FROM stored ORDER BY ingest_seq DESC, doc_key DESC"""
 ORACLE["merge_hot"] = _with(_STORIES, _STORED) + """
 , keyed AS (
   SELECT CASE WHEN ingest_seq % 3 = 0 THEN '1' WHEN ingest_seq % 7 <> 0 THEN doc_key END AS doc_key, ingest_seq,

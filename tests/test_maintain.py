@@ -124,3 +124,20 @@ def test_cumulative_documents_and_time(spark):
 def test_batch_averages_round_half_up(spark):
     stats = spark.createDataFrame([(1, 2), (2, 3)], "data_size int, batch_time int")
     assert tuple(monitor.batch_averages(stats).first()) == (2.0, 3.0)
+
+
+def test_ranks_come_from_partition_offsets_not_one_task(spark):
+    rows = [(f"k{i:04d}", (i * 7919) % 1000, "x") for i in range(1000)] + [(None, None, "y"), ("t", 5, "z")]
+    df = spark.createDataFrame(rows, "doc_key string, ingest_seq bigint, v string")
+    got = maintain.ranked(df, [F.desc("ingest_seq"), F.desc("doc_key")], partitions=7)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window [row_number()" in plan and "windowspecdefinition(_part" in plan
+    assert "SinglePartition" not in plan
+    ranks = sorted((r["rank"], r["ingest_seq"] if r["ingest_seq"] is not None else -1, r["doc_key"] or "")
+                   for r in got.collect())
+    assert [r[0] for r in ranks] == list(range(1, 1003))
+    want = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0] or ""), reverse=True)
+    assert [(r[1] if r[1] is not None else -1, r[0] or "") for r in want] == [r[1:] for r in ranks]
+    assert maintain.ranked(df.where("false"), [F.col("v")]).count() == 0
+    newest = maintain.newest_first(keyed(spark, "abcd"))
+    assert [(r.doc_key, r["rank"]) for r in newest.collect()] == [("d", 1), ("c", 2), ("b", 3), ("a", 4)]
