@@ -82,10 +82,10 @@ def extract_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     ).withColumn("word_count", text.word_count(F.col("article_text"))).drop(html)
 
 
-def xml_image(stories: DataFrame, language: str = "ARB", key: str = "doc_key") -> DataFrame:
+def xml_image(stories: DataFrame, language: str = "ARB", key: str = "doc_key", extra: tuple[str, ...] = ()) -> DataFrame:
     """Rows of the XML export: attributes carry an underscore, the text does not.
 
-    A character that XML 1.0 cannot hold becomes U+FFFD.
+    A character that XML 1.0 cannot hold becomes U+FFFD. ``extra`` columns pass as they are.
     """
     def held(c: Column) -> Column:
         return F.regexp_replace(c, NOT_XML, "\uFFFD")
@@ -97,6 +97,7 @@ def xml_image(stories: DataFrame, language: str = "ARB", key: str = "doc_key") -
         held(F.col("news_source")).alias("_source"),
         F.lit("true").alias("_sentence"),
         held(F.col("article_body")).alias("Text"),
+        *extra,
     )
 
 

@@ -26,6 +26,7 @@ LAST_YEAR = 2016
 FIRST = 500
 CAP = 500
 EXPORT_LANGUAGE = "ENG"
+XML_CHUNK = 300
 # How long the stream remembers a delivered key.
 REPLAY_EXPIRY = "1 day"
 ACTORS = {
@@ -543,6 +544,13 @@ def xml_files(spark, sf_dir):
     return xml.read_articles(spark, folder)
 
 
+def xml_chunks(spark, sf_dir):
+    """Export the articles of one language in chunks of exactly ``XML_CHUNK``, then count each chunk's rows and files."""
+    folder = shared_folder(spark, "xml-chunks")
+    xml.write_chunks(stories(spark, sf_dir), folder, XML_CHUNK, EXPORT_LANGUAGE)
+    return xml.read_chunks(spark, folder)
+
+
 def coded_files(spark, sf_dir):
     """Code the documents in one distributed write, then count what was stored."""
     folder = shared_folder(spark, "coded")
@@ -623,6 +631,6 @@ QUERIES: dict[str, Query] = {
         shuffled_cap,
         batch_stats, batch_averages, progress,
         corpus_files, corpus_spellings, message_files, message_dialects, phrases_inserted, stories_inserted, rows_published,
-        xml_files, coded_files, stream_annotate, stream_stats, stream_restart, stream_replay,
+        xml_files, xml_chunks, coded_files, stream_annotate, stream_stats, stream_restart, stream_replay,
     )
 }

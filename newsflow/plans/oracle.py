@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from newsflow.plans.catalog import ACTORS, CAP, EXPORT_LANGUAGE, FIRST, RECENT, VERBS
+from newsflow.plans.catalog import ACTORS, CAP, EXPORT_LANGUAGE, FIRST, RECENT, VERBS, XML_CHUNK
 
 _BLANKS = r"[ \t\n\r\f\x0B]"
 _TRIM = "' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)"
@@ -375,6 +375,11 @@ ORACLE["corpus_files"] = ORACLE["extract_articles"]
 ORACLE["xml_files"] = ORACLE["xml_articles"]
 ORACLE["coded_files"] = ORACLE["sentence_outcomes"]
 ORACLE["merge_stored"] = ORACLE["merge_annotations"]
+ORACLE["xml_chunks"] = _with(_STORIES) + f"""
+SELECT chunk, count(*) AS rows, 1::BIGINT AS files FROM (
+  SELECT (row_number() OVER (ORDER BY ingest_seq, doc_key) - 1) // {XML_CHUNK} + 1 AS chunk
+  FROM stories WHERE language = '{EXPORT_LANGUAGE}'
+) GROUP BY chunk"""
 ORACLE["stream_annotate"] = ORACLE["annotated_documents"]
 ORACLE["message_files"] = _with(_STORIES) + """
 SELECT doc_key, doc_id, date, article_body, CAST(NULL AS VARCHAR) AS error FROM stories"""
