@@ -35,7 +35,7 @@ TOP = 10
 SCALE = 1_000_000_000
 
 # Documents per shard and queries per block: what one task holds.
-SHARD_DOCS = 8_000
+SHARD_DOCS = 4_000
 BLOCK_QUERIES = 2_000
 # Documents in a leaf of the tree.
 LEAF = 128
@@ -43,8 +43,13 @@ LEAF = 128
 MARGIN = 1e-7
 
 
+# The characters between terms.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
 def terms(text):
-    return F.regexp_extract_all(lower_ascii(F.coalesce(text, F.lit(""))), F.lit(TERM), 0)
+    """The maximal matches of ``TERM``, A-Z lower-cased: the text split at runs of the other characters."""
+    return F.array_remove(F.split(lower_ascii(F.coalesce(text, F.lit(""))), BETWEEN), "")
 
 
 def document_vectors(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, int]:
