@@ -117,30 +117,40 @@ class BallTree:
         return dots
 
     def _build(self, members: np.ndarray) -> int:
-        cols, vals, _, _ = self._entries(members)
-        idx, where = np.unique(cols, return_inverse=True)
-        centre = np.bincount(where, weights=vals, minlength=len(idx)) / max(len(members), 1)
+        cols, vals, owner, _ = self._entries(members)
+
+        def dots(idx: np.ndarray, val: np.ndarray) -> np.ndarray:
+            """Inner products of the members with one sparse vector, on the entries taken once."""
+            self.scratch[idx] = val
+            out = np.bincount(owner, weights=vals * self.scratch[cols], minlength=len(members))
+            self.scratch[idx] = 0.0
+            return out
+
+        # The node's terms, sorted, and per term the mean (the centre) and the largest value, by one sort.
+        order = np.argsort(cols, kind="stable")
+        by_term, values = cols[order], vals[order]
+        firsts = np.flatnonzero(np.r_[True, by_term[1:] != by_term[:-1]]) if len(by_term) else np.zeros(0, np.int64)
+        idx = by_term[firsts]
+        centre = np.add.reduceat(values, firsts) / max(len(members), 1) if len(firsts) else np.zeros(0)
         # The radius along each term: how far the farthest member lies above the centre there.
-        reach = np.zeros(len(idx))
-        np.maximum.at(reach, where, vals)
-        reach = np.maximum(reach - centre, 0.0)
-        c_norm = float(centre @ centre)
-        dist2 = self.norms[members] ** 2 - 2 * self._dots(members, idx, centre) + c_norm
-        dist = np.sqrt(np.maximum(dist2, 0.0))
+        reach = np.maximum(np.maximum.reduceat(values, firsts) - centre, 0.0) if len(firsts) else np.zeros(0)
+        del order, by_term, values, firsts
+        norms2 = self.norms[members] ** 2
+        dist = np.sqrt(np.maximum(norms2 - 2 * dots(idx, centre) + float(centre @ centre), 0.0))
         radius = float(dist.max()) if len(members) else 0.0
         node = len(self.nodes)
         self.nodes.append(None)
         children, leaf = (), members
         if len(members) > LEAF and radius > 0:
             a = members[int(np.argmax(dist))]
-            a_idx, a_val = self._row(a)
-            to_a = self.norms[members] ** 2 - 2 * self._dots(members, a_idx, a_val) + self.norms[a] ** 2
+            to_a = norms2 - 2 * dots(*self._row(a)) + self.norms[a] ** 2
             b = members[int(np.argmax(to_a))]
-            b_idx, b_val = self._row(b)
-            to_b = self.norms[members] ** 2 - 2 * self._dots(members, b_idx, b_val) + self.norms[b] ** 2
+            to_b = norms2 - 2 * dots(*self._row(b)) + self.norms[b] ** 2
             # Halves by the median of the difference, so that the tree stays balanced.
             near_a = np.zeros(len(members), dtype=bool)
             near_a[np.argsort(to_a - to_b, kind="stable")[: len(members) // 2]] = True
+            # The entries of this node are let go before the halves take their own.
+            del cols, vals, owner, dots, dist, to_a, to_b, norms2
             children, leaf = (self._build(members[near_a]), self._build(members[~near_a])), None
         self.nodes[node] = (idx, centre, radius, children, leaf, reach)
         return node
