@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -279,13 +280,40 @@ def code_with(annotated: DataFrame, coder: Coder) -> DataFrame:
     """Run a user's coder; it maps batches of annotated documents to coded ones.
 
     The coder gets the date as year + month + day: a date of eight digits as it is, a
-    printed one normalised, ``-1`` where it cannot be read. Documents stay whole
-    rows, so the order of sentences is kept without a shuffle.
+    printed one normalised, ``-1`` where it cannot be read. A document travels to
+    Python as one row per sentence, so that an Arrow batch is bounded by sentences
+    and not by whole documents; the rows of a document follow each other in its
+    partition and are put together there, in order and without a shuffle.
     """
     dated = dates.robust_date(annotated, "date", "_normalised", max_year=None)
     date = F.when(F.col("date").rlike("^[0-9]{8}$"), F.col("date")).otherwise(F.col("_normalised"))
-    columns = dated.select("doc_key", "doc_id", date.alias("date"), "sentences")
-    return columns.mapInPandas(coder, schemas.CODED)
+    # A document without sentences keeps one row with what it has, an empty array or NULL.
+    rows = F.when(F.size("sentences") > 0, F.transform("sentences", lambda s: F.array(s))).otherwise(F.array("sentences"))
+    columns = dated.select("doc_key", "doc_id", date.alias("date"), F.posexplode_outer(rows).alias("_pos", "sentences"))
+    return columns.mapInPandas(lambda batches: coder(_whole_documents(batches)), schemas.CODED)
+
+
+def _whole_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Documents of one row each from rows of one sentence each; the last one of a batch may go on in the next."""
+    waiting = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        rows = batch if waiting is None else pd.concat([waiting, batch], ignore_index=True)
+        starts = np.flatnonzero(rows["_pos"] == 0)
+        waiting = rows.iloc[starts[-1]:]
+        if len(starts) > 1:
+            yield _put_together(rows, starts)
+    if waiting is not None:
+        yield _put_together(waiting, np.array([0, len(waiting)]))
+
+
+def _put_together(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+    """The documents between consecutive ``starts``."""
+    parts = rows["sentences"].to_numpy()
+    sentences = [parts[a] if b - a == 1 else np.concatenate(parts[a:b]) for a, b in zip(starts, starts[1:])]
+    documents = rows[["doc_key", "doc_id", "date"]].iloc[starts[:-1]].reset_index(drop=True)
+    return documents.assign(sentences=pd.Series(sentences, dtype=object))
 
 
 def per_sentence_coder(code: Callable[[str, str, str], dict]) -> Coder:

@@ -162,3 +162,32 @@ def test_first_event_and_noun_arrays(spark):
     nouns, codes = coding.noun_arrays(F.col("pairs"))
     pairs = spark.createDataFrame([([["a", "A"], ["b", "B"]],)], "pairs array<array<string>>")
     assert tuple(pairs.select(nouns.alias("n"), codes.alias("c")).first()) == (["a", "b"], ["A", "B"])
+
+
+@pytest.mark.parametrize("records", [1, 3, 10_000])
+def test_a_coder_gets_whole_documents_in_batches_bounded_by_sentences(spark, records):
+    """Documents cut between Arrow batches arrive whole and in order; empty and NULL ones stay what they are."""
+    def sizes(batches):
+        for b in batches:
+            n = [-1 if s is None else len(s) for s in b["sentences"]]
+            held = sum(max(1, k) for k in n)
+            coded = [[{"sen_id": x["sen_id"], "sentence": x["sentence"], "tree": x["tree"], "nouns": [], "noun_coding": [],
+                       "verbs": str(k), "verb_coding": str(held), "events": None, "error": None}
+                      for x in (s if s is not None else [])] for s, k in zip(b["sentences"], n)]
+            yield b[["doc_key", "doc_id"]].assign(date=[str(k) for k in n], coded=coded)
+
+    longs = [" ".join(f"S{i}-{j}." for j in range(7)) for i in range(4)]
+    docs = annotated(spark, "", *longs, "", "One.").unionByName(annotated(spark, "x").select(
+        F.lit("none").alias("doc_key"), "doc_id", "date", F.lit(None).cast(annotated(spark, "").schema["sentences"].dataType).alias("sentences")))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
+    try:
+        got = {r.doc_key: r for r in coding.code_with(docs.coalesce(1), sizes).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {k: r.date for k, r in got.items()} == {
+        "k0": "0", "k1": "7", "k2": "7", "k3": "7", "k4": "7", "k5": "0", "k6": "1", "none": "-1"}
+    for i in range(4):
+        assert [(s.sen_id, s.sentence) for s in got[f"k{i + 1}"].coded] == [(j + 1, f"S{i}-{j}.") for j in range(7)]
+    if records == 3:
+        # A batch of three rows and the document it completes, never all documents at once.
+        assert max(int(s.verb_coding) for r in got.values() for s in r.coded) <= 10
