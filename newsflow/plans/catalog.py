@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -569,17 +570,28 @@ def _run_stream(spark, sf_dir):
     return f"{folder}/out"
 
 
+def _enqueue(part: DataFrame, queue: str) -> int:
+    """Append messages to a queue, a file per partition of their scan; the files it now holds.
+
+    A fixed number of files would give each task that writes one a fixed share of the input.
+    """
+    part.write.mode("append").text(queue)
+    return len(part.sparkSession.read.text(queue).inputFiles())
+
+
 def stream_restart(spark, sf_dir):
     """Half of the messages, then a restart from the checkpoint with all of them sent: each document once.
 
-    The messages lie in several files, one per trigger, so there are several micro-batches.
+    The messages lie in files that grow in number with the input, a third of them per
+    trigger, so there are several micro-batches, and as many whatever the size.
     """
     folder = shared_folder(spark, "restart")
-    s = stories(spark, sf_dir).select("ingest_seq", "doc_key", "doc_id", "publication_date", "article_body")
+    s = spread_stories(spark, sf_dir).select("ingest_seq", "doc_key", "doc_id", "publication_date", "article_body")
     value = messages.story_message(s.drop("ingest_seq"), key="doc_key").alias("value")
+    queued = 0
     for part in (s.where("ingest_seq % 2 = 0"), s):
-        part.select(value).repartition(3).write.mode("append").text(f"{folder}/queue")
-        incoming = stream_messages(spark, f"{folder}/queue", files_per_trigger=1)
+        before, queued = queued, _enqueue(part.select(value), f"{folder}/queue")
+        incoming = stream_messages(spark, f"{folder}/queue", files_per_trigger=max(1, ceil((queued - before) / 3)))
         streaming.stream_annotate(
             incoming, f"{folder}/out", f"{folder}/checkpoint", look_back=None, every=None,
         ).awaitTermination()
@@ -589,14 +601,17 @@ def stream_restart(spark, sf_dir):
 def stream_replay(spark, sf_dir):
     """All messages, then two redeliveries of parts of them in new files, each run restarted from the checkpoint.
 
-    The state store of the stream drops the copies: each document is stored once.
+    The state store of the stream drops the copies: each document is stored once. Each
+    run takes two thirds of its new files per trigger.
     """
     folder = shared_folder(spark, "replay")
-    s = stories(spark, sf_dir).select("ingest_seq", "doc_key", "doc_id", "publication_date", "article_body")
+    s = spread_stories(spark, sf_dir).select("ingest_seq", "doc_key", "doc_id", "publication_date", "article_body")
     value = messages.story_message(s.drop("ingest_seq"), key="doc_key").alias("value")
+    queued = 0
     for part in (s, s.where("ingest_seq % 2 = 0"), s.where("ingest_seq % 3 = 0").union(s.where("ingest_seq % 3 = 0"))):
-        part.select(value).repartition(3).write.mode("append").text(f"{folder}/queue")
-        incoming = stream_messages(spark, f"{folder}/queue", files_per_trigger=2, arrival=True)
+        before, queued = queued, _enqueue(part.select(value), f"{folder}/queue")
+        incoming = stream_messages(
+            spark, f"{folder}/queue", files_per_trigger=max(1, ceil((queued - before) * 2 / 3)), arrival=True)
         streaming.stream_annotate(
             incoming, f"{folder}/out", f"{folder}/checkpoint", every=None, expiry=REPLAY_EXPIRY,
         ).awaitTermination()
