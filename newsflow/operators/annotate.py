@@ -37,11 +37,11 @@ def explode_tokens(sentences: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def annotate(documents: DataFrame, annotator: Annotator | None = None) -> DataFrame:
+def annotate(documents: DataFrame, annotator: Annotator | None = None, trees: bool = True) -> DataFrame:
     """Documents (``doc_key, doc_id, date, article_body``) to annotated documents.
 
     Without an annotator the sentences are split by column expressions and carry
-    a flat tree. A given annotator receives Arrow batches of those four columns
+    a flat tree, or NULL without ``trees``. A given annotator receives Arrow batches of those four columns
     and yields batches of the annotated schema; it is created once per Python
     worker by its own generator. In both cases a document stays one row, so
     neither a shuffle nor a regrouping is needed.
@@ -54,7 +54,7 @@ def annotate(documents: DataFrame, annotator: Annotator | None = None) -> DataFr
         lambda s, i: F.struct(
             (i + 1).alias("sen_id"),
             s.alias("sentence"),
-            text.flat_tree(text.tokens(s)).alias("tree"),
+            (text.flat_tree(text.tokens(s)) if trees else F.lit(None).cast("string")).alias("tree"),
         ),
     )
     return docs.select("doc_key", "doc_id", "date", built.alias("sentences"))

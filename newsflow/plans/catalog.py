@@ -64,7 +64,8 @@ def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _coded(spark: SparkSession, sf_dir: str, texts: tuple[str, ...] = ("sentence", "tree")) -> DataFrame:
-    return coding.code_documents(_annotated(spark, sf_dir), _dictionary(spark), texts)
+    annotated = _annotated(spark, sf_dir) if "tree" in texts else annotate.annotate(spread_stories(spark, sf_dir), trees=False)
+    return coding.code_documents(annotated, _dictionary(spark), texts)
 
 
 def _printed(df: DataFrame) -> DataFrame:
@@ -374,9 +375,11 @@ def code_hook(spark, sf_dir):
 def stored_events_meta(spark, sf_dir):
     """The stored coder results: how many each document has, and the date in their ``meta``."""
     stored = coding.events_by_doc(_coded(spark, sf_dir))
-    results = F.from_json(F.from_json("output", schemas.MAIN_OUTPUT)["main_output"], schemas.STRINGS)
+    # A projection of its own: the texts are parsed once.
+    parsed = F.from_json(F.from_json("output", schemas.MAIN_OUTPUT)["main_output"], schemas.STRINGS)
+    results = F.col("_results")
     dates_of = F.array_distinct(F.transform(results, lambda r: F.regexp_extract(r, r'"meta":\{"date":"([^"]*)"\}', 1)))
-    return stored.select("mongo_id", F.size(results).alias("results"), F.array_join(dates_of, ",").alias("dates"))
+    return stored.select("mongo_id", parsed.alias("_results")).select("mongo_id", F.size(results).alias("results"), F.array_join(dates_of, ",").alias("dates"))
 
 
 def noun_pairs(spark, sf_dir):

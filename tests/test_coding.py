@@ -191,3 +191,26 @@ def test_a_coder_gets_whole_documents_in_batches_bounded_by_sentences(spark, rec
     if records == 3:
         # A batch of three rows and the document it completes, never all documents at once.
         assert max(int(s.verb_coding) for r in got.values() for s in r.coded) <= 10
+
+
+def test_a_small_dictionary_codes_in_place_as_the_joins_do(spark):
+    """Odd documents, copies and sentences give the same rows; no document is shuffled."""
+    from dataclasses import replace
+
+    from newsflow import schemas
+
+    kind = schemas.ANNOTATED["sentences"].dataType
+    docs = annotated(spark, TEXT, TEXT, "", None, "u.s. prime", "minister " * 5, "France met. Same. France met France.")
+    odd = docs.limit(1).select(F.lit(None).cast("string").alias("doc_key"), "doc_id", "date", F.array(
+        F.lit(None).cast(kind.elementType), F.struct(F.lit(7).alias("sen_id"), F.lit(None).cast("string").alias("sentence"), F.lit("t").alias("tree")),
+    ).cast(schemas.T.ArrayType(kind.elementType)).alias("sentences"))
+    docs = docs.unionByName(odd).unionByName(odd).unionByName(odd.withColumn("sentences", F.lit(None).cast(kind)))
+    d = dictionary(spark)
+    assert d.inline and not dictionary(spark, max_rows=3).inline
+    for texts in (("sentence", "tree"), ("sentence",), ()):
+        placed = coding.code_documents(docs, d, texts)
+        joined = coding.code_documents(docs, replace(d, inline=0), texts)
+        assert placed.dtypes == joined.dtypes
+        assert sorted(map(str, placed.collect())) == sorted(map(str, joined.collect()))
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Exchange" in line and ("_hash_a" in line or "doc_key" in line)]
