@@ -147,18 +147,19 @@ def test_state_is_bounded_by_the_expiry(spark, tmp_path):
     assert keys_of(stored) == list("aabcd")
 
 
-@pytest.mark.parametrize("name, batches", [("stream_restart", 6), ("stream_replay", 9)])
+@pytest.mark.parametrize("name, batches", [("stream_replay", 9)])
 def test_the_queue_grows_in_files_and_not_in_micro_batches(spark, tmp_path, monkeypatch, name, batches):
     """No task writes a fixed share of the messages: every core has a file of its own at least."""
     from newsflow.plans import catalog
 
     n = 400
     docs = spark.createDataFrame([(i, f"One {i}. Two.", "en", "s") for i in range(n)], "doc_id bigint, text string, lang string, source string")
-    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    # Copies of a row are stored once.
+    docs.union(docs.where("doc_id < 40")).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
     monkeypatch.setattr(catalog, "shared_folder", lambda _, purpose: str(tmp_path / purpose))
     stored = getattr(catalog, name)(spark, str(tmp_path))
     assert sorted(int(r.mongo_id) for r in stored.select("mongo_id").collect()) == list(range(n))
     folder = tmp_path / name.removeprefix("stream_")
     sizes = [sum(1 for _ in open(f)) for f in (folder / "queue").glob("part-*")]
-    assert len(sizes) >= 2 * spark.sparkContext.defaultParallelism and max(sizes) <= n / 4
+    assert len(sizes) >= 2 * spark.sparkContext.defaultParallelism and max(sizes) <= n / 6
     assert len(list((folder / "out" / "annotated").glob("batch_id=*"))) == batches
