@@ -13,11 +13,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow import schemas
 from newsflow.functions import dates, text
+from newsflow.operators.matching import MATCHES_DDL, Phrases
 
 Coder = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
@@ -27,7 +29,7 @@ BROADCAST_BYTES = 64 << 20
 # Copies of a large dictionary, so that a frequent word is spread over this many tasks.
 SALTS = 32
 
-# Documents are coded in place by look-ups in an array of hash buckets up to these bounds.
+# Up to these bounds every Python worker holds the dictionary, and documents are coded in place.
 INLINE_ROWS = 20_000
 INLINE_BYTES = 1 << 20
 
@@ -43,7 +45,7 @@ class Dictionary:
     entries: DataFrame  # phrase, n, actor, verb
     lengths: tuple[int, ...]  # phrase lengths in tokens, longest first
     small: bool
-    inline: int = 0  # hash buckets for coding in place, 0 when the dictionary is too large for it
+    inline: bool = False  # small enough to code documents in place
 
     def first_words(self) -> DataFrame:
         """Every word that starts a phrase: its own codes and the phrase lengths it starts."""
@@ -61,25 +63,6 @@ class Dictionary:
             F.col("verb").alias(f"_verb{n}"),
         )
 
-    def buckets(self) -> DataFrame:
-        """One row, ``_buckets``: maps from phrase to ``n, actor, verb, starts`` by the hash of the phrase.
-
-        ``starts`` holds the phrase lengths above one that a word starts; a word that is
-        no phrase itself has no codes.
-        """
-        starts = self.entries.where(F.col("n") > 1).groupBy(F.split_part("phrase", F.lit(" "), F.lit(1)).alias("phrase")).agg(
-            F.collect_set("n").alias("starts"))
-        entries = self.entries.join(starts, "phrase", "full").withColumn("_bucket", _bucket(F.col("phrase"), self.inline))
-        entry = F.struct("phrase", F.struct("n", "actor", "verb", "starts"))
-        held = entries.groupBy("_bucket").agg(F.collect_list(entry).alias("_entries"))
-        every = self.entries.sparkSession.range(self.inline).select(F.col("id").cast("int").alias("_bucket"))
-        listed = every.join(held, "_bucket", "left").agg(F.sort_array(F.collect_list(F.struct("_bucket", "_entries"))).alias("_listed"))
-        return listed.select(F.transform("_listed", lambda b: F.map_from_entries(b["_entries"])).alias("_buckets"))
-
-
-def _bucket(phrase: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(phrase), F.lit(buckets)).cast("int")
-
 
 def load_dictionary(
     actors: DataFrame, verbs: DataFrame,
@@ -114,8 +97,7 @@ def load_dictionary(
     ).first()
     small = size["rows"] <= max_rows and size["bytes"] <= max_bytes
     inline = size["rows"] <= min(INLINE_ROWS, max_rows) and size["bytes"] <= min(INLINE_BYTES, max_bytes)
-    return Dictionary(
-        entries, tuple(sorted(size["lengths"], reverse=True)), small, 2 * size["rows"] + 1 if inline else 0)
+    return Dictionary(entries, tuple(sorted(size["lengths"], reverse=True)), small, inline)
 
 
 def _token_rows(
@@ -223,8 +205,9 @@ def code_documents(
     and missing ``sen_id`` values change nothing.
 
     With a dictionary within ``INLINE_ROWS`` and ``INLINE_BYTES`` documents stay whole rows
-    and are coded in place, without a shuffle. With a larger one, every sentence row travels once through one exchange, as the header row of
-    its matches, so documents are neither read twice nor joined back. The exchange
+    and are coded in place, without a shuffle: only their tokens travel to Python, in Arrow
+    batches bounded by bytes. With a larger one, every sentence row travels once through one
+    exchange, as the header row of its matches, so documents are neither read twice nor joined back. The exchange
     key holds the content hash and the input partition besides the document key:
     copies of a document, however many, stay spread over as many groups as there
     are input partitions, collapse inside each, and are counted and restored.
@@ -277,74 +260,32 @@ def code_documents(
 
 
 def _code_in_place(annotated: DataFrame, dictionary: Dictionary, texts: tuple[str, ...]) -> DataFrame:
-    """``code_documents`` by look-ups in the buckets of the dictionary, which travel as one broadcast row."""
-    def look(gram: Column) -> Column:
-        return F.try_element_at(F.get(F.col("_buckets"), _bucket(gram, dictionary.inline)), gram)
-
-    longer = [n for n in dictionary.lengths if n > 1]
-
-    def at(found: Column, i: Column, words: Column) -> Column:
-        """The start of a candidate with the entries of the phrases that may begin there, by length."""
-        def phrase(n: int) -> Column:
-            # Past the end of the sentence there are fewer words, which is a shorter phrase.
-            return F.when(F.array_contains(found["starts"], n), look(F.array_join(F.slice(words, i + 1, F.lit(n)), " ")))
+    """``code_documents`` by matching Arrow batches of tokens; texts and keys stay out of them."""
+    entries = [tuple(r) for r in dictionary.entries.select("phrase", "actor", "verb").collect()]
 
-        return F.struct((i + 1).alias("start"), found.alias("_1"), F.get(words, i).alias("_w"), *[
-            phrase(n).alias(f"_{n}") for n in longer])
+    @F.arrow_udf(MATCHES_DDL)
+    def match(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        phrases = Phrases(entries)
+        for documents in batches:
+            yield phrases.match(documents)
 
-    def longest(c: Column, words: Column, kind: str) -> Column:
-        def hit(n: int) -> Column:
-            gram = c["_w"] if n == 1 else F.array_join(F.slice(words, c["start"], F.lit(n)), " ")
-            held = c[f"_{n}"]
-            return F.when((held["n"] == n) & held[kind].isNotNull(), F.struct(
-                F.lit(n).alias("n"), gram.alias("phrase"), held[kind].alias("code")))
-
-        return F.coalesce(*[hit(n) for n in (*longer, 1)])
-
-    def marks(words: Column) -> Column:
-        found = F.transform(words, look)
-        starts = F.filter(F.transform(found, lambda e, i: F.when(e.isNotNull(), at(e, i, words))), lambda c: c.isNotNull())
-        made = F.transform(starts, lambda c: F.struct(
-            c["start"].alias("start"), longest(c, words, "actor").alias("actor"), longest(c, words, "verb").alias("verb")))
-        return F.filter(made, lambda m: m["actor"].isNotNull() | m["verb"].isNotNull())
-
-    none = F.lit(None).cast("string")
     words = F.transform("sentences", lambda s: F.coalesce(
         text.tokens(F.lower(s["sentence"])), F.array().cast("array<string>")))
-    docs = annotated.select("doc_key", "doc_id", "date", "sentences").withColumn("_words", words)
-    marked = docs.crossJoin(F.broadcast(dictionary.buckets())).select(
-        "doc_key", "doc_id", "date", "sentences", F.transform("_words", marks).alias("_found"))
+    docs = annotated.select("doc_key", "doc_id", "date", "sentences", match(words).alias("_found"))
+    none = F.lit(None).cast("string")
 
     def coded(z: Column) -> Column:
         s, m = z["sentences"], z["_found"]
-        actors = F.filter(m, lambda x: x["actor"].isNotNull())
-        verbs = F.filter(m, lambda x: x["verb"].isNotNull())
-        return F.struct(
-            s["sen_id"].alias("sen_id"), s["sentence"].alias("_text"),
-            (s["sentence"] if "sentence" in texts else none).alias("sentence"),
-            (s["tree"] if "tree" in texts else none).alias("tree"), actors.alias("actors"), verbs.alias("verbs"))
-
-    def events(c: Column) -> Column:
-        first, last = F.get(c["actors"], F.lit(0)), F.try_element_at(c["actors"], F.lit(-1))
-        between = F.filter(c["verbs"], lambda v: (v["start"] > first["start"]) & (v["start"] < last["start"]))
-        return F.transform(between, lambda v: F.array(first["actor"]["code"], last["actor"]["code"], v["verb"]["code"]))
-
-    def result(c: Column) -> Column:
-        verb = F.get(c["verbs"], F.lit(0))["verb"]
-        acted = F.filter(F.array(events(c)), lambda e: F.size(e) > 0)
         return F.struct(
-            c["sen_id"].alias("sen_id"), c["sentence"].alias("sentence"), c["tree"].alias("tree"),
-            F.transform(c["actors"], lambda a: a["actor"]["phrase"]).alias("nouns"),
-            F.transform(c["actors"], lambda a: a["actor"]["code"]).alias("noun_coding"),
-            F.coalesce(verb["phrase"], F.lit("")).alias("verbs"),
-            F.coalesce(verb["code"], F.lit("")).alias("verb_coding"),
-            F.get(acted, F.lit(0)).alias("events"),
-            F.when(~c["_text"].rlike(WORD_CHARACTER), F.lit(NO_WORDS)).alias("error"),
+            s["sen_id"].alias("sen_id"),
+            *[(s[c] if c in texts else none).alias(c) for c in ("sentence", "tree")],
+            *[m[c].alias(c) for c in ("nouns", "noun_coding", "verbs", "verb_coding", "events")],
+            F.when(~s["sentence"].rlike(WORD_CHARACTER), F.lit(NO_WORDS)).alias("error"),
         )
 
     # A document without sentences, or with NULL for them, has no coded ones.
     zipped = F.coalesce(F.arrays_zip("sentences", "_found"), F.array())
-    return marked.select("doc_key", "doc_id", "date", F.transform(F.transform(zipped, coded), result).alias("coded"))
+    return docs.select("doc_key", "doc_id", "date", F.transform(zipped, coded).alias("coded"))
 
 
 def _coded_sentences(rows: DataFrame) -> DataFrame:

@@ -214,3 +214,51 @@ def test_a_small_dictionary_codes_in_place_as_the_joins_do(spark):
         assert sorted(map(str, placed.collect())) == sorted(map(str, joined.collect()))
         plan = placed._jdf.queryExecution().executedPlan().toString()
         assert not [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and ("_hash_a" in line or "doc_key" in line)]
+
+
+def test_matching_in_batches_equals_brute_force():
+    """Longest actor and verb at every token, and the events, on random sentences in whole, cut and sliced batches."""
+    import random
+
+    import pyarrow as pa
+
+    from newsflow.operators.matching import AT_ONCE, MATCHES, Phrases
+
+    rng = random.Random(5)
+    entries = [("a", "A", None), ("a b", None, "1"), ("a b c d", "ABCD", "2"), ("b", "B", "3"), ("b c", "BC", None),
+               ("d . d", None, "4"), ("\u00e9", "E", None), ("c", None, None), ("d", "", None)]
+    words = ["a", "b", "c", "d", ".", "\u00e9", "x"]
+
+    def one(tokens):
+        hits = {}
+        for kind in (0, 1):
+            hits[kind] = []
+            for i in range(len(tokens)):
+                fit = [(len(p.split(" ")), p, codes[kind]) for p, *codes in entries
+                       if codes[kind] is not None and tokens[i:i + len(p.split(" "))] == p.split(" ")]
+                if fit:
+                    hits[kind].append((i, *max(fit)[1:]))
+        actors, verbs = hits[0], hits[1]
+        events = [[actors[0][2], actors[-1][2], v[2]] for v in verbs if actors and actors[0][0] < v[0] < actors[-1][0]]
+        return {"nouns": [p for _, p, _ in actors], "noun_coding": [c for _, _, c in actors], "verbs": verbs[0][1] if verbs else "",
+                "verb_coding": verbs[0][2] if verbs else "", "events": events or None}
+
+    docs = [None if rng.random() < 0.1 else [[rng.choice(words) for _ in range(rng.choice([0, 1, 2, 9]))]
+            for _ in range(rng.choice([0, 1, 4]))] for _ in range(2 * AT_ONCE + 5)]
+    kind = pa.list_(pa.list_(pa.string()))
+    expected = [None if d is None else [one(s) for s in d] for d in docs]
+    got = Phrases(entries).match(pa.array(docs, kind))
+    assert got.type == pa.list_(MATCHES) and got.to_pylist() == expected
+    assert Phrases(entries).match(pa.array(docs, kind).slice(7, 300)).to_pylist() == expected[7:307]
+    assert Phrases(entries).match(pa.array([], kind)).to_pylist() == []
+    assert Phrases([]).match(pa.array([[["a"]], None], kind)).to_pylist() == [[one(["x"])], None]
+    assert any(s["events"] for d in expected for s in d or [])
+
+
+def test_coding_in_place_sends_only_tokens_to_python(spark):
+    """No token is looked up in an interpreted lambda: the plan has no dictionary join, and texts and keys stay in the JVM."""
+    coded = coding.code_documents(annotated(spark, TEXT), dictionary(spark), ("sentence",))
+    plan = coded._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" in plan and "Join" not in plan
+    evaluated = next(line for line in plan.splitlines() if "ArrowEvalPython" in line)
+    assert "match(transform(sentences" in evaluated and "doc_key" not in evaluated
